@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import reports_a
+from oracle import reports_a, reports_b
 
 
 def all_statements() -> dict[str, str]:
-    return dict(reports_a.SQL)
+    return {**reports_a.SQL, **reports_b.SQL}

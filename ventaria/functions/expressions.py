@@ -31,17 +31,23 @@ def dbl(c: Column | str) -> Column:
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """Quotient in double; NULL when the divisor is zero or unknown."""
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return F.expr(sql_ratio(numerator, denominator))
     d = dbl(denominator)
     return F.when(d != 0, dbl(numerator) / d)
 
 
 def pct(numerator: Column | str, denominator: Column | str) -> Column:
+    if isinstance(numerator, str) and isinstance(denominator, str):
+        return F.expr(sql_pct(numerator, denominator))
     d = dbl(denominator)
     return F.when(d != 0, F.lit(100.0) * dbl(numerator) / d)
 
 
 def growth(current: Column | str, previous: Column | str) -> Column:
     """Change against the previous value, in percent of it."""
+    if isinstance(current, str) and isinstance(previous, str):
+        return F.expr(sql_pct(f"{current} - {previous}", previous))
     return pct(col(current) - col(previous), previous)
 
 
@@ -50,6 +56,8 @@ def flag(condition: Column) -> Column:
 
 
 def rounded(c: Column | str, digits: int = 2) -> Column:
+    if isinstance(c, str):
+        return F.expr(f"double(round({c}, {digits}))")
     return F.round(col(c), digits).cast("double")
 
 
@@ -106,10 +114,19 @@ def mode_or_unknown(c: Column | str = "ship_mode") -> Column:
     return F.coalesce(col(c), F.lit(UNKNOWN_SHIP_MODE))
 
 
-def spread(count: Column | str, total: Column | str, squares: Column | str) -> Column:
+def sql_ratio(numerator: str, denominator: str) -> str:
+    """SQL text of :func:`ratio`; text is cheaper to build than column objects."""
+    return f"(double({numerator}) / nullif(double({denominator}), 0D))"
+
+
+def sql_pct(numerator: str, denominator: str) -> str:
+    return f"(100D * double({numerator}) / nullif(double({denominator}), 0D))"
+
+
+def sql_spread(count: str, total: str, squares: str) -> str:
     """Population standard deviation from integer sums: exact and mergeable."""
-    n, s, q = (col(c).cast("decimal(19,0)") for c in (count, total, squares))
-    return F.when(col(count) > 0, F.sqrt(dbl(n * q - s * s)) / dbl(count))
+    n, s, q = (f"CAST({c} AS DECIMAL(19,0))" for c in (count, total, squares))
+    return f"(sqrt(double({n} * {q} - {s} * {s})) / nullif(double({count}), 0D))"
 
 
 def all_of(conditions) -> Column:

@@ -9,113 +9,94 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ventaria.functions.expressions import dbl, flag, pct, ratio, spread
-
-Measure = tuple[str, str, Column]
-
-
-def line_parts() -> list[Measure]:
-    c = F.col
-    both = c("sales").isNotNull() & c("profit").isNotNull()
-    unit = c("sales").isNotNull() & c("quantity").isNotNull()
-    return [
-        ("total_order_lines", "sum", F.lit(1)),
-        ("total_sales", "sum", c("sales")),
-        ("total_quantity", "sum", c("quantity")),
-        ("total_profit", "sum", c("profit")),
-        ("discount_sum", "sum", c("discount")),
-        ("discount_lines", "sum", flag(c("discount").isNotNull())),
-        ("comparable_sales", "sum", F.when(both, c("sales"))),
-        ("comparable_profit", "sum", F.when(both, c("profit"))),
-        ("unit_sales", "sum", F.when(unit, c("sales"))),
-        ("unit_quantity", "sum", F.when(unit, c("quantity"))),
-        ("loss_making_lines", "sum", flag(c("profit") < 0)),
-        ("unknown_sales_lines", "sum", flag(c("sales").isNull())),
-        ("unknown_quantity_lines", "sum", flag(c("quantity").isNull())),
-        ("unknown_profit_lines", "sum", flag(c("profit").isNull())),
-        ("first_order_date", "min", c("order_date")),
-        ("last_order_date", "max", c("order_date")),
-    ]
-
-
-def order_parts() -> list[Measure]:
-    c = F.col
-    sales_known = c("unknown_sales_lines") == 0
-    profit_known = c("unknown_profit_lines") == 0
-    days = c("shipping_days")
-    return [
-        ("total_orders", "sum", F.lit(1)),
-        ("total_order_lines", "sum", c("total_order_lines")),
-        ("total_product_references", "sum", c("distinct_products")),
-        ("total_sales", "sum", c("total_sales")),
-        ("total_quantity", "sum", c("total_quantity")),
-        ("total_profit", "sum", c("total_profit")),
-        ("complete_sales", "sum", F.when(sales_known, c("total_sales"))),
-        ("complete_sales_orders", "sum", flag(sales_known)),
-        ("complete_profit", "sum", F.when(profit_known, c("total_profit"))),
-        ("complete_profit_orders", "sum", flag(profit_known)),
-        ("comparable_sales", "sum", F.when(sales_known & profit_known, c("total_sales"))),
-        ("comparable_profit", "sum", F.when(sales_known & profit_known, c("total_profit"))),
-        ("unknown_sales_lines", "sum", c("unknown_sales_lines")),
-        ("unknown_quantity_lines", "sum", c("unknown_quantity_lines")),
-        ("unknown_profit_lines", "sum", c("unknown_profit_lines")),
-        ("orders_with_unknown_sales", "sum", flag(c("unknown_sales_lines") > 0)),
-        ("orders_with_unknown_quantity", "sum", flag(c("unknown_quantity_lines") > 0)),
-        ("orders_with_unknown_profit", "sum", flag(c("unknown_profit_lines") > 0)),
-        ("unknown_ship_mode_orders", "sum", flag(c("ship_mode").isNull())),
-        ("complete_loss_making_orders", "sum", flag(profit_known & (c("total_profit") < 0))),
-        ("shipping_days_sum", "sum", days.cast("long")),
-        ("shipping_days_squares", "sum", (days * days).cast("long")),
-        ("minimum_shipping_days", "min", days),
-        ("maximum_shipping_days", "max", days),
-        ("same_day_orders", "sum", flag(days == 0)),
-        ("one_two_day_orders", "sum", flag(days.between(1, 2))),
-        ("three_four_day_orders", "sum", flag(days.between(3, 4))),
-        ("five_seven_day_orders", "sum", flag(days.between(5, 7))),
-        ("two_day_or_less_orders", "sum", flag(days <= 2)),
-        ("eight_plus_day_orders", "sum", flag(days >= 8)),
-        ("first_order_date", "min", c("order_date")),
-        ("last_order_date", "max", c("order_date")),
-    ]
-
-
-_FOLD = {"sum": F.sum, "min": F.min, "max": F.max}
-
-
-def fold(parts: list[Measure]) -> list[Column]:
-    return [_FOLD[how](expr).alias(name) for name, how, expr in parts]
-
-
-def refold(parts: list[Measure]) -> list[Column]:
+from ventaria.functions.expressions import sql_pct, sql_ratio, sql_spread
+
+# name, merge function, value per row
+LINE_PARTS = [
+    ("total_order_lines", "sum", "1"),
+    ("total_sales", "sum", "sales"),
+    ("total_quantity", "sum", "quantity"),
+    ("total_profit", "sum", "profit"),
+    ("discount_sum", "sum", "discount"),
+    ("discount_lines", "sum", "if(discount IS NOT NULL, 1, 0)"),
+    ("comparable_sales", "sum", "if(profit IS NOT NULL, sales, NULL)"),
+    ("comparable_profit", "sum", "if(sales IS NOT NULL, profit, NULL)"),
+    ("unit_sales", "sum", "if(quantity IS NOT NULL, sales, NULL)"),
+    ("unit_quantity", "sum", "if(sales IS NOT NULL, quantity, NULL)"),
+    ("loss_making_lines", "sum", "if(profit < 0, 1, 0)"),
+    ("unknown_sales_lines", "sum", "if(sales IS NULL, 1, 0)"),
+    ("unknown_quantity_lines", "sum", "if(quantity IS NULL, 1, 0)"),
+    ("unknown_profit_lines", "sum", "if(profit IS NULL, 1, 0)"),
+    ("first_order_date", "min", "order_date"),
+    ("last_order_date", "max", "order_date"),
+]
+
+_BOTH_KNOWN = "unknown_sales_lines = 0 AND unknown_profit_lines = 0"
+ORDER_PARTS = [
+    ("total_orders", "sum", "1"),
+    ("total_order_lines", "sum", "total_order_lines"),
+    ("total_product_references", "sum", "distinct_products"),
+    ("total_sales", "sum", "total_sales"),
+    ("total_quantity", "sum", "total_quantity"),
+    ("total_profit", "sum", "total_profit"),
+    ("complete_sales", "sum", "if(unknown_sales_lines = 0, total_sales, NULL)"),
+    ("complete_sales_orders", "sum", "if(unknown_sales_lines = 0, 1, 0)"),
+    ("complete_profit", "sum", "if(unknown_profit_lines = 0, total_profit, NULL)"),
+    ("complete_profit_orders", "sum", "if(unknown_profit_lines = 0, 1, 0)"),
+    ("comparable_sales", "sum", f"if({_BOTH_KNOWN}, total_sales, NULL)"),
+    ("comparable_profit", "sum", f"if({_BOTH_KNOWN}, total_profit, NULL)"),
+    ("unknown_sales_lines", "sum", "unknown_sales_lines"),
+    ("unknown_quantity_lines", "sum", "unknown_quantity_lines"),
+    ("unknown_profit_lines", "sum", "unknown_profit_lines"),
+    ("orders_with_unknown_sales", "sum", "if(unknown_sales_lines > 0, 1, 0)"),
+    ("orders_with_unknown_quantity", "sum", "if(unknown_quantity_lines > 0, 1, 0)"),
+    ("orders_with_unknown_profit", "sum", "if(unknown_profit_lines > 0, 1, 0)"),
+    ("unknown_ship_mode_orders", "sum", "if(ship_mode IS NULL, 1, 0)"),
+    ("complete_loss_making_orders", "sum", "if(unknown_profit_lines = 0 AND total_profit < 0, 1, 0)"),
+    ("shipping_days_sum", "sum", "bigint(shipping_days)"),
+    ("shipping_days_squares", "sum", "bigint(shipping_days) * shipping_days"),
+    ("minimum_shipping_days", "min", "shipping_days"),
+    ("maximum_shipping_days", "max", "shipping_days"),
+    ("same_day_orders", "sum", "if(shipping_days = 0, 1, 0)"),
+    ("one_two_day_orders", "sum", "if(shipping_days BETWEEN 1 AND 2, 1, 0)"),
+    ("three_four_day_orders", "sum", "if(shipping_days BETWEEN 3 AND 4, 1, 0)"),
+    ("five_seven_day_orders", "sum", "if(shipping_days BETWEEN 5 AND 7, 1, 0)"),
+    ("two_day_or_less_orders", "sum", "if(shipping_days <= 2, 1, 0)"),
+    ("eight_plus_day_orders", "sum", "if(shipping_days >= 8, 1, 0)"),
+    ("first_order_date", "min", "order_date"),
+    ("last_order_date", "max", "order_date"),
+]
+
+_KNOWN_LINES = "total_order_lines - unknown_{}_lines"
+LINE_RATIOS = {
+    "average_line_discount": sql_ratio("discount_sum", "discount_lines"),
+    "comparable_profit_margin_percentage": sql_pct("comparable_profit", "comparable_sales"),
+    "comparable_average_unit_sales": sql_ratio("unit_sales", "unit_quantity"),
+    "average_known_line_sales": sql_ratio("total_sales", _KNOWN_LINES.format("sales")),
+    "average_known_line_profit": sql_ratio("total_profit", _KNOWN_LINES.format("profit")),
+}
+ORDER_RATIOS = {
+    "average_complete_order_value": sql_ratio("complete_sales", "complete_sales_orders"),
+    "average_complete_order_profit": sql_ratio("complete_profit", "complete_profit_orders"),
+    "comparable_profit_margin_percentage": sql_pct("comparable_profit", "comparable_sales"),
+    "average_shipping_days": sql_ratio("shipping_days_sum", "total_orders"),
+    "shipping_days_stddev": sql_spread("total_orders", "shipping_days_sum", "shipping_days_squares"),
+    "profit_margin_percentage": sql_pct("total_profit", "total_sales"),
+    "purchase_span_days": "date_diff(last_order_date, first_order_date)",
+}
+
+
+def fold(parts) -> list[Column]:
+    return [F.expr(f"{how}({value}) AS {name}") for name, how, value in parts]
+
+
+def refold(parts) -> list[Column]:
     """Merge already folded groups."""
-    return [_FOLD[how](name).alias(name) for name, how, _ in parts]
+    return [F.expr(f"{how}({name}) AS {name}") for name, how, _ in parts]
 
 
-def _with(df: DataFrame, derived: dict[str, Column]) -> DataFrame:
-    return df.select("*", *[expr.alias(name) for name, expr in derived.items()])
-
-
-def finish_lines(df: DataFrame) -> DataFrame:
-    known = F.col("total_order_lines")
-    return _with(df, {
-        "average_line_discount": ratio("discount_sum", "discount_lines"),
-        "comparable_profit_margin_percentage": pct("comparable_profit", "comparable_sales"),
-        "comparable_average_unit_sales": ratio("unit_sales", "unit_quantity"),
-        "average_known_line_sales": ratio("total_sales", known - F.col("unknown_sales_lines")),
-        "average_known_line_profit": ratio("total_profit", known - F.col("unknown_profit_lines")),
-    })
-
-
-def finish_orders(df: DataFrame) -> DataFrame:
-    return _with(df, {
-        "average_complete_order_value": ratio("complete_sales", "complete_sales_orders"),
-        "average_complete_order_profit": ratio("complete_profit", "complete_profit_orders"),
-        "comparable_profit_margin_percentage": pct("comparable_profit", "comparable_sales"),
-        "average_shipping_days": ratio("shipping_days_sum", "total_orders"),
-        "shipping_days_stddev": spread("total_orders", "shipping_days_sum", "shipping_days_squares"),
-        "profit_margin_percentage": pct("total_profit", "total_sales"),
-        "purchase_span_days": F.date_diff("last_order_date", "first_order_date"),
-    })
+def finish(df: DataFrame, ratios: dict[str, str]) -> DataFrame:
+    return df.selectExpr("*", *[f"{text} AS {name}" for name, text in ratios.items()])
 
 
 def line_rollup(detail: DataFrame, keys: list[str], parties: bool = True) -> DataFrame:
@@ -126,18 +107,19 @@ def line_rollup(detail: DataFrame, keys: list[str], parties: bool = True) -> Dat
     before the next shuffle and a heavy key is spread over its orders, where
     several COUNT(DISTINCT) in one grouping would multiply the fact rows.
     """
-    parts = line_parts()
+    parts = LINE_PARTS
     if not parties:
-        return finish_lines(detail.groupBy(*keys).agg(*fold(parts)))
+        return finish(detail.groupBy(*keys).agg(*fold(parts)), LINE_RATIOS)
     per_order = detail.groupBy(*keys, "order_key", "customer_id").agg(*fold(parts))
     per_customer = per_order.groupBy(*keys, "customer_id").agg(
         *refold(parts), F.count(F.lit(1)).alias("total_orders")
     )
-    return finish_lines(per_customer.groupBy(*keys).agg(
+    per_key = per_customer.groupBy(*keys).agg(
         *refold(parts),
         F.sum("total_orders").alias("total_orders"),
         F.count(F.lit(1)).alias("distinct_customers"),
-    ))
+    )
+    return finish(per_key, LINE_RATIOS)
 
 
 def order_rollup(
@@ -149,7 +131,7 @@ def order_rollup(
     are first folded to one per combination of the counted columns, so the row
     expansion Spark needs then works on that smaller set.
     """
-    parts = order_parts()
+    parts = ORDER_PARTS
     distinct = {"distinct_customers": ["customer_id"]} if distinct is None else distinct
     counts = [F.count_distinct(*[F.col(c) for c in cols]).alias(name)
               for name, cols in distinct.items()]
@@ -157,9 +139,6 @@ def order_rollup(
         counted = list(dict.fromkeys(c for cols in distinct.values() for c in cols))
         extra = [c for c in counted if c not in keys]
         folded = orders.groupBy(*keys, *extra).agg(*fold(parts))
-        return finish_orders(folded.groupBy(*keys).agg(*refold(parts), *counts))
-    return finish_orders(orders.groupBy(*keys).agg(*fold(parts), *counts))
-
+        return finish(folded.groupBy(*keys).agg(*refold(parts), *counts), ORDER_RATIOS)
+    return finish(orders.groupBy(*keys).agg(*fold(parts), *counts), ORDER_RATIOS)
 
-def average(sum_column: str, count_column: str) -> Column:
-    return dbl(sum_column) / dbl(count_column)

@@ -2,41 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from ventaria.functions.expressions import pct, rounded
-
-
-def _derived() -> dict[str, Column]:
-    c = F.col
-    lines, orders = c("total_order_lines"), c("total_orders")
-    known_profit_orders = orders - c("orders_with_unknown_profit")
-    out = {
-        f"{m}_coverage_percentage": pct(lines - c(f"unknown_{m}_lines"), lines)
-        for m in ("sales", "quantity", "profit")
-    }
-    loss_lines = pct("loss_making_lines", lines - c("unknown_profit_lines"))
-    out["known_loss_making_line_percentage"] = loss_lines
-    out["known_loss_line_percentage"] = loss_lines
-    out["known_profit_lines"] = lines - c("unknown_profit_lines")
-    out["complete_loss_making_order_percentage"] = pct(
-        "complete_loss_making_orders", known_profit_orders)
-    out["average_discount_percentage"] = c("average_line_discount") * 100
-    out["average_discount"] = c("average_line_discount")
-    for part in ("same_day", "one_two_day", "three_four_day", "five_seven_day",
-                 "two_day_or_less", "eight_plus_day", "unknown_ship_mode"):
-        out[f"{part}_percentage"] = pct(f"{part}_orders", orders)
-    return out
-
+from ventaria.functions.expressions import sql_pct
+
+_LOSS_LINES = sql_pct("loss_making_lines", "total_order_lines - unknown_profit_lines")
+DERIVED = {
+    **{f"{m}_coverage_percentage": sql_pct(f"total_order_lines - unknown_{m}_lines", "total_order_lines")
+       for m in ("sales", "quantity", "profit")},
+    "known_loss_making_line_percentage": _LOSS_LINES,
+    "known_loss_line_percentage": _LOSS_LINES,
+    "complete_loss_making_order_percentage":
+        sql_pct("complete_loss_making_orders", "total_orders - orders_with_unknown_profit"),
+    "average_discount_percentage": "(average_line_discount * 100)",
+    "average_discount": "average_line_discount",
+    **{f"{part}_percentage": sql_pct(f"{part}_orders", "total_orders")
+       for part in ("same_day", "one_two_day", "three_four_day", "five_seven_day",
+                    "two_day_or_less", "eight_plus_day", "unknown_ship_mode")},
+}
+COUNTS = {"known_profit_lines": "total_order_lines - unknown_profit_lines"}
 
 _FOUR_DIGITS = {"average_line_discount", "average_discount"}
 
 
 def derive(df: DataFrame, *names: str) -> DataFrame:
     """Add shared derived measures that later steps (ranks, filters) refer to."""
-    known = _derived()
-    return df.select("*", *[known[n].alias(n) for n in names if n not in df.columns])
+    return df.selectExpr("*", *[f"{DERIVED[n]} AS {n}" for n in names if n not in df.columns])
 
 
 def present(df: DataFrame, layout: str) -> DataFrame:
@@ -45,7 +37,6 @@ def present(df: DataFrame, layout: str) -> DataFrame:
     Decimal and double columns are rounded (two digits unless told otherwise)
     and returned as double; all other columns pass through.
     """
-    known = _derived()
     schema = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for item in layout.split():
@@ -53,9 +44,9 @@ def present(df: DataFrame, layout: str) -> DataFrame:
         places = int(digits) if digits else (4 if name in _FOUR_DIGITS else 2)
         if name in schema:
             numeric = isinstance(schema[name], (DecimalType, DoubleType, FloatType))
-            out.append(rounded(F.col(name), places).alias(name) if numeric else F.col(name))
-        elif name == "known_profit_lines":
-            out.append(known[name].alias(name))
+            out.append(f"double(round({name}, {places})) AS {name}" if numeric else name)
+        elif name in COUNTS:
+            out.append(f"{COUNTS[name]} AS {name}")
         else:
-            out.append(rounded(known[name], places).alias(name))
-    return df.select(*out)
+            out.append(f"double(round({DERIVED[name]}, {places})) AS {name}")
+    return df.selectExpr(*out)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ventaria.functions.present import present
 from ventaria.operators.reconcile import doubles
-from ventaria.plans import business, category, product, views
+from ventaria.plans import business, category, customer, geography, logistics, period, product, views
 from ventaria.plans.book import Book
 from ventaria.plans.layouts import VIEWS
 
@@ -44,4 +44,4 @@ def all_queries() -> dict[str, Query]:
     return out
 
 
-MODULES = [business, category, product]
+MODULES = [business, category, product, customer, geography, logistics, period]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ventaria.functions.expressions import flag, mode_or_unknown, pct, ratio
-from ventaria.functions.measures import fold, line_parts, line_rollup, order_rollup
+from ventaria.functions.measures import LINE_PARTS, fold, line_rollup, order_rollup
 from ventaria.operators.scalars import attach
 from ventaria.sources.tpch import Star
 
@@ -35,7 +35,7 @@ def order_summary(star: Star) -> DataFrame:
     """
     wanted = ("total_order_lines", "total_sales", "total_quantity", "total_profit", "discount_sum",
               "discount_lines", "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines")
-    parts = [p for p in line_parts() if p[0] in wanted]
+    parts = [p for p in LINE_PARTS if p[0] in wanted]
     folded = star.lines.groupBy("order_key").agg(
         *fold(parts), F.count_distinct("product_key").alias("distinct_products"))
     day = F.col("order_date")
