@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import reports_a, reports_b
+from oracle import reports_a, reports_b, reports_c
 
 
 def all_statements() -> dict[str, str]:
-    return {**reports_a.SQL, **reports_b.SQL}
+    return {**reports_a.SQL, **reports_b.SQL, **reports_c.SQL}

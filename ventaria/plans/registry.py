@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ventaria.functions.present import present
 from ventaria.operators.reconcile import doubles
-from ventaria.plans import business, category, customer, geography, logistics, period, product, views
+from ventaria.plans import business, category, customer, geography, logistics, period, product, quality, views
 from ventaria.plans.book import Book
 from ventaria.plans.layouts import VIEWS
 
@@ -32,6 +32,10 @@ def _from_book(build: Callable[[Book], DataFrame]) -> Query:
     return lambda spark, folder: build(Book.open(spark, folder))
 
 
+def _from_sheets(build) -> Query:
+    return lambda spark, folder: build(quality.Sheets.open(spark, folder))
+
+
 def _view(name: str, build: Callable[[Book], DataFrame]) -> Query:
     return lambda spark, folder: present(build(Book.open(spark, folder)), VIEWS[name])
 
@@ -41,6 +45,7 @@ def all_queries() -> dict[str, Query]:
     out.update({name: _view(name, build) for name, build in _VIEWS.items()})
     for module in MODULES:
         out.update({name: _from_book(f) for name, f in module.REPORTS.items()})
+    out.update({name: _from_sheets(f) for name, f in quality.REPORTS.items()})
     return out
 
 
