@@ -41,6 +41,7 @@ def number_rows(
     dense_rank: str | None = None,
     running: tuple[str, str] | None = None,
     tiles: tuple[int, str] | None = None,
+    previous: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Add order-dependent columns over ``order`` (its last key must be unique).
 
@@ -48,6 +49,7 @@ def number_rows(
     dense_rank  dense rank of the first key of ``order``
     running     (source column, name): running sum up to and including the row
     tiles       (k, name): NTILE(k), only without ``partition``
+    previous    (source column, name): value of the preceding row (LAG 1)
     """
     keys = parse_order(order)
     sort = [sort_key(*k) for k in keys]
@@ -63,6 +65,8 @@ def number_rows(
         local.append(F.dense_rank().over(by_value).cast("long").alias("_d"))
     if running:
         local.append(F.sum(running[0]).over(inside.rowsBetween(_START, 0)).alias("_s"))
+    if previous:
+        local.append(F.lag(previous[0]).over(inside).alias("_p"))
     numbered = settle(ranged.select("*", *local))
 
     value = F.col(keys[0][0])
@@ -72,6 +76,8 @@ def number_rows(
                   F.max_by(value, "_n").alias("tail")]
     if running:
         facts.append(F.max_by("_s", "_n").alias("s"))
+    if previous:
+        facts.append(F.max_by(previous[0], "_n").alias("end"))
     slices = numbered.groupBy(SLICE, *parts).agg(*facts)
 
     in_order = Window.partitionBy(*parts).orderBy(SLICE)
@@ -79,6 +85,8 @@ def number_rows(
     offsets = [F.sum("n").over(before).alias("_n0")]
     if running:
         offsets.append(F.sum("s").over(before).alias("_s0"))
+    if previous:
+        offsets.append(F.lag("end").over(in_order).alias("_p0"))
     if dense_rank:
         shared = F.lag(F.lit(1)).over(in_order).isNotNull() & F.lag("tail").over(in_order).eqNullSafe(F.col("head"))
         slices = slices.select("*", F.when(shared, 1).otherwise(0).alias("bridge"))
@@ -101,6 +109,9 @@ def number_rows(
     if running:
         total = F.coalesce(F.col("_s") + F.col("_s0"), F.col("_s"), F.col("_s0"))
         added.append(total.alias(running[1]))
+    if previous:
+        crossing = (F.col("_n") == 1) & F.col("_n0").isNotNull()
+        added.append(F.when(crossing, F.col("_p0")).otherwise(F.col("_p")).alias(previous[1]))
     if tiles:
         k, name = tiles
         joined = attach(joined, slices.agg(F.sum("n").alias("_rows")))
