@@ -135,3 +135,9 @@ def all_of(conditions) -> Column:
 
 def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
+
+
+def collated(df, columns: list[str], collation: str = "UNICODE_CI_AI_RTRIM"):
+    """Compare the given text columns without regard to case, accents and
+    trailing blanks: DISTINCT, GROUP BY and joins on them follow the collation."""
+    return df.withColumns({c: F.collate(c, collation) for c in columns})
