@@ -95,6 +95,11 @@ def refold(parts) -> list[Column]:
     return [F.expr(f"{how}({name}) AS {name}") for name, how, _ in parts]
 
 
+def available(parts, df: DataFrame):
+    """Leave out the dates when the rows were not joined to their orders."""
+    return [p for p in parts if p[2] != "order_date" or "order_date" in df.columns]
+
+
 def finish(df: DataFrame, ratios: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{text} AS {name}" for name, text in ratios.items()])
 
@@ -107,7 +112,7 @@ def line_rollup(detail: DataFrame, keys: list[str], parties: bool = True) -> Dat
     before the next shuffle and a heavy key is spread over its orders, where
     several COUNT(DISTINCT) in one grouping would multiply the fact rows.
     """
-    parts = LINE_PARTS
+    parts = available(LINE_PARTS, detail)
     if not parties:
         return finish(detail.groupBy(*keys).agg(*fold(parts)), LINE_RATIOS)
     per_order = detail.groupBy(*keys, "order_key", "customer_id").agg(*fold(parts))
@@ -122,6 +127,13 @@ def line_rollup(detail: DataFrame, keys: list[str], parties: bool = True) -> Dat
     return finish(per_key, LINE_RATIOS)
 
 
+def roll_up(per_part: DataFrame, members: DataFrame, on: str, keys: list[str]) -> DataFrame:
+    """Fold lines per ``on`` first and attach its attributes to the few results."""
+    parts = available(LINE_PARTS, per_part)
+    folded = per_part.groupBy(on).agg(*fold(parts)).join(members, on)
+    return finish(folded.groupBy(*keys).agg(*refold(parts)), LINE_RATIOS)
+
+
 def order_rollup(
     orders: DataFrame, keys: list[str], distinct: dict[str, list[str]] | None = None
 ) -> DataFrame:

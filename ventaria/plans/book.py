@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ventaria.functions.measures import roll_up
 from ventaria.plans import views
 from ventaria.sources.tpch import Star, read_star
 
@@ -28,21 +29,28 @@ class Book:
     def orders(self) -> DataFrame:
         return views.order_summary(self.star)
 
+    def facts(self, header: tuple[str, ...] = (), product: tuple[str, ...] = ()) -> DataFrame:
+        return views.facts(self.star, header, product)
+
+    def totals(self, *keys: str) -> DataFrame:
+        """Line measures per product attribute, without order and customer counts."""
+        return roll_up(self.star.lines, self.star.products.select("product_key", *[k for k in keys if k != "product_key"]), "product_key", list(keys))
+
     @property
     def months(self) -> DataFrame:
         return views.monthly_performance(self.orders)
 
     @property
     def categories(self) -> DataFrame:
-        return views.category_performance(self.star, self.detail)
+        return views.category_performance(self.star)
 
     @property
     def subcategories(self) -> DataFrame:
-        return views.subcategory_performance(self.star, self.detail)
+        return views.subcategory_performance(self.star)
 
     @property
     def products(self) -> DataFrame:
-        return views.product_performance(self.detail)
+        return views.product_performance(self.star)
 
     @property
     def customers(self) -> DataFrame:

@@ -15,6 +15,7 @@ from ventaria.operators.reconcile import count_against, share_total
 from ventaria.plans import views
 from ventaria.plans.book import Book, narrow
 from ventaria.plans.layouts import CATEGORY as LAYOUT
+from ventaria.plans.views import PARTY
 
 SUB = ["category", "sub_category"]
 # Published labels.
@@ -38,8 +39,8 @@ def category_comparison(book: Book) -> DataFrame:
 
 
 def category_share_totals(book: Book) -> DataFrame:
-    categories = line_rollup(book.detail, ["category"], parties=False)
-    whole = line_rollup(book.detail, [], parties=False)
+    categories = book.totals("category")
+    whole = line_rollup(book.star.lines, [], parties=False)
     return share_total(categories, whole, {
         "total_sales": "sales_share_total", "total_quantity": "quantity_share_total",
         "total_order_lines": "order_line_share_total"})
@@ -61,13 +62,13 @@ def category_by_margin(book: Book) -> DataFrame:
 
 def category_discount_bands(book: Book) -> DataFrame:
     label, place = discount_band("discount")
-    detail = book.detail.select("*", label.alias("discount_range"), place.alias("discount_order"))
+    detail = book.facts(PARTY, ("category",)).select("*", label.alias("discount_range"), place.alias("discount_order"))
     df = line_rollup(detail, ["category", "discount_range", "discount_order"])
     return present(df.orderBy("category", "discount_order"), LAYOUT["category_discount_bands"])
 
 
 def category_loss_discounts(book: Book) -> DataFrame:
-    df = book.detail.groupBy("category", "discount").agg(
+    df = book.facts(product=("category",)).groupBy("category", "discount").agg(
         F.count(F.lit(1)).alias("total_order_lines"), F.sum("sales").alias("total_sales"),
         F.sum("profit").alias("total_profit"), mean_of("profit").alias("average_known_profit"),
         F.sum(flag(F.col("profit") < 0)).alias("loss_making_lines"))
@@ -108,12 +109,12 @@ def growth_with_falling_margin() -> Column:
 
 
 def category_yearly(book: Book) -> DataFrame:
-    df = yearly(book.detail, ["category"], products=True)
+    df = yearly(book.facts(PARTY, ("category",)), ["category"], products=True)
     return present(df.orderBy("category", "order_year"), LAYOUT["category_yearly"])
 
 
 def _year_coverage(book: Book, keys: list[str]) -> DataFrame:
-    seen = _with_year(book.detail).select(*keys, "order_year").distinct()
+    seen = _with_year(book.facts(("order_date",), tuple(keys))).select(*keys, "order_year").distinct()
     return seen.groupBy(*keys).agg(F.min("order_year").alias("first_year"), F.max("order_year").alias("last_year"),
                                    F.count(F.lit(1)).alias("observed_years")).orderBy(*keys)
 
@@ -123,7 +124,7 @@ def category_year_coverage(book: Book) -> DataFrame:
 
 
 def category_year_combinations(book: Book) -> DataFrame:
-    seen = _with_year(book.detail).select("category", "order_year").distinct()
+    seen = _with_year(book.facts(("order_date",), ("category",))).select("category", "order_year").distinct()
     return seen.agg(F.count(F.lit(1)).alias("category_year_combinations"))
 
 
@@ -141,19 +142,19 @@ def subcategory_comparison(book: Book) -> DataFrame:
 
 def subcategory_count_check(book: Book) -> DataFrame:
     model = book.star.products.select(*SUB).distinct()
-    return count_against(model, line_rollup(book.detail, SUB, parties=False),
+    return count_against(model, views.sold_products(book.star).select(*SUB).distinct(),
                          ("subcategories_model", "subcategories_analysed", "difference"))
 
 
 def subcategory_share_check(book: Book) -> DataFrame:
-    df = small_share(line_rollup(book.detail, SUB, parties=False), {"s": "total_sales"}, ("category",))
+    df = small_share(book.totals(*SUB), {"s": "total_sales"}, ("category",))
     total = F.sum(F.col("s").cast("decimal(28,12)"))
     return df.groupBy("category").agg(F.round(total, 2).cast("double").alias("category_sales_share_total")).orderBy("category")
 
 
 def subcategory_share_total(book: Book) -> DataFrame:
-    df = line_rollup(book.detail, SUB, parties=False)
-    return share_total(df, line_rollup(book.detail, [], parties=False), {"total_sales": "total_sales_share_percentage"})
+    df = book.totals(*SUB)
+    return share_total(df, line_rollup(book.star.lines, [], parties=False), {"total_sales": "total_sales_share_percentage"})
 
 
 def _sub_quadrant(book: Book) -> DataFrame:
@@ -178,7 +179,7 @@ def subcategory_high_volume_low_margin(book: Book) -> DataFrame:
 
 
 def subcategory_quadrant_distribution(book: Book) -> DataFrame:
-    slim = line_rollup(book.detail, SUB, parties=False)
+    slim = book.totals(*SUB)
     df = against_mean(slim).select(quadrant_label("volumen", unknown_sales=False).alias("performance_profile"))
     return df.groupBy("performance_profile").agg(F.count(F.lit(1)).alias("total_subcategories")).orderBy("performance_profile")
 
@@ -191,7 +192,7 @@ def subcategory_pareto(book: Book) -> DataFrame:
 
 
 def subcategory_milestones(book: Book) -> DataFrame:
-    df = cumulate(line_rollup(book.detail, SUB, parties=False).select(*SUB, "total_sales"), "total_sales",
+    df = cumulate(book.totals(*SUB).select(*SUB, "total_sales"), "total_sales",
                   "sub_category, category", position="n", share="s", cumulative="c")
     return df.agg(*milestones(df, "c", "n", [f"subcategories_for_{m}_percent" for m in (50, 80, 95)]))
 
@@ -212,24 +213,24 @@ def subcategory_risk(book: Book) -> DataFrame:
 
 
 def subcategory_negative_profit(book: Book) -> DataFrame:
-    df = line_rollup(book.detail, SUB).where("total_profit < 0")
+    df = line_rollup(book.facts(PARTY, tuple(SUB)), SUB).where("total_profit < 0")
     return present(df.orderBy("total_profit", "sub_category", "category"), LAYOUT["subcategory_negative_profit"])
 
 
 def subcategory_top_loss_lines(book: Book) -> DataFrame:
-    df = derive(line_rollup(book.detail, SUB, parties=False), "known_loss_making_line_percentage")
+    df = derive(book.totals(*SUB), "known_loss_making_line_percentage")
     df = df.where("total_order_lines - unknown_profit_lines > 0")
     order = [F.desc("known_loss_making_line_percentage"), F.desc("loss_making_lines"), "sub_category", "category"]
     return present(df.orderBy(*order).limit(5), LAYOUT["subcategory_top_loss_lines"])
 
 
 def subcategory_yearly(book: Book) -> DataFrame:
-    df = yearly(book.detail, SUB, products=True)
+    df = yearly(book.facts(PARTY, tuple(SUB)), SUB, products=True)
     return present(df.orderBy(*SUB, "order_year"), LAYOUT["subcategory_yearly"])
 
 
 def subcategory_growth_margin_drop(book: Book) -> DataFrame:
-    df = yearly(book.detail, SUB, products=False, parties=False).where(growth_with_falling_margin())
+    df = yearly(book.facts(("order_date",), tuple(SUB)), SUB, products=False, parties=False).where(growth_with_falling_margin())
     df = df.select("*", F.col("year_over_year_sales_growth_percentage").alias("sales_growth_percentage"),
                    F.col("comparable_profit_margin_percentage").alias("current_margin"),
                    F.col("year_over_year_margin_change_points").alias("margin_change_points"))

@@ -19,7 +19,7 @@ from ventaria.plans.book import Book, narrow
 from ventaria.plans.category import _products_per
 from ventaria.plans.layouts import PERIOD as LAYOUT
 from ventaria.plans.logistics import by_mode
-from ventaria.plans.views import CUSTOMER, PLACE, PRODUCT
+from ventaria.plans.views import CUSTOMER, PARTY, PLACE
 from ventaria.session import settle
 
 DEFAULT_TOP, LARGEST_TOP = 20, 1000  # fixed values
@@ -86,7 +86,7 @@ def period_sales_summary(book: Book, start: Day = None, end: Day = None) -> Data
 
 def period_category_performance(book: Book, category: str | None = None, start: Day = None, end: Day = None) -> DataFrame:
     period = Period(book, start, end)
-    detail = period.within(book.detail)
+    detail = period.within(book.facts(PARTY, ("category", "sub_category")))
     if category is not None:
         test = F.col("category") == category
         _require(book.star.products, test, f"unknown category: {category}")
@@ -100,14 +100,14 @@ def period_category_performance(book: Book, category: str | None = None, start:
 def period_top_products(book: Book, start: Day = None, end: Day = None, n: int | None = None) -> DataFrame:
     n = _top(n)
     period = Period(book, start, end)
-    df = line_rollup(period.within(book.detail), PRODUCT)
-    df = narrow(df, *PRODUCT, "total_orders", "distinct_customers", "total_order_lines", "total_sales", "total_quantity",
+    df = line_rollup(period.within(book.facts(PARTY)), ["product_key"])
+    df = narrow(df, "product_key", "total_orders", "distinct_customers", "total_order_lines", "total_sales", "total_quantity",
                 "total_profit", "average_line_discount", "comparable_profit_margin_percentage", "loss_making_lines",
                 "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines")
     df = dense_ranks(df, "product_key", {"profit_rank": "total_profit desc",
                                          "margin_rank": "comparable_profit_margin_percentage desc"})
     df = number_rows(df, "total_sales desc, total_profit desc, product_key", position="sales_position")
-    df = df.where(F.col("sales_position") <= n)
+    df = df.where(F.col("sales_position") <= n).join(book.star.products, "product_key")
     df = df.select("*", (F.col("profit_rank") - F.col("sales_position")).alias("sales_profit_rank_gap"))
     return present(period.stamp(df).orderBy("sales_position"), LAYOUT["period_top_products"])
 

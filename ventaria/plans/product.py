@@ -15,7 +15,7 @@ from ventaria.operators.scalars import attach
 from ventaria.plans.book import Book, narrow
 from ventaria.plans.category import growth_with_falling_margin, high_sales_low_margin, loss_risk, yearly
 from ventaria.plans.layouts import PRODUCT as LAYOUT
-from ventaria.plans.views import PRODUCT, sold_products
+from ventaria.plans.views import PARTY, PRODUCT, sold_products
 from ventaria.session import settle
 
 _DISPLAY = ["total_orders", "total_order_lines", "distinct_customers", "total_sales", "total_quantity", "total_profit",
@@ -24,8 +24,8 @@ _DISPLAY = ["total_orders", "total_order_lines", "distinct_customers", "total_sa
 
 
 def _plain(book: Book) -> DataFrame:
-    """Product measures without order and customer counts: one grouping step."""
-    return line_rollup(book.detail, PRODUCT, parties=False)
+    """Product measures without texts and counts: one grouping of the lines alone."""
+    return line_rollup(book.star.lines, ["product_key"], parties=False)
 
 
 def product_ranking(book: Book) -> DataFrame:
@@ -114,7 +114,7 @@ def product_abc_distribution(book: Book) -> DataFrame:
 
 
 def product_share_total(book: Book) -> DataFrame:
-    return share_total(_plain(book), line_rollup(book.detail, [], parties=False),
+    return share_total(_plain(book), line_rollup(book.star.lines, [], parties=False),
                        {"total_sales": "total_sales_share_percentage"})
 
 
@@ -160,12 +160,12 @@ def product_reuse_impact(book: Book) -> DataFrame:
 
 
 def product_yearly(book: Book) -> DataFrame:
-    df = yearly(book.detail, PRODUCT, products=False)
+    df = yearly(book.facts(PARTY), ["product_key"], products=False).join(book.star.products, "product_key")
     return present(df.orderBy("product_key", "order_year"), LAYOUT["product_yearly"])
 
 
 def _yearly_change(book: Book) -> DataFrame:
-    df = yearly(book.detail, PRODUCT, products=False, parties=False)
+    df = yearly(book.facts(("order_date",)), ["product_key"], products=False, parties=False)
     return df.select("*", F.col("total_sales").alias("current_year_sales"), F.col("total_profit").alias("current_year_profit"),
                      F.col("comparable_profit_margin_percentage").alias("current_year_margin"),
                      F.col("year_over_year_sales_growth_percentage").alias("sales_growth_percentage"),
@@ -174,13 +174,13 @@ def _yearly_change(book: Book) -> DataFrame:
 
 
 def product_growth_margin_drop(book: Book) -> DataFrame:
-    df = _yearly_change(book).where(growth_with_falling_margin())
+    df = _yearly_change(book).where(growth_with_falling_margin()).join(book.star.products, "product_key")
     order = ["margin_change_points", F.desc("sales_growth_percentage"), "product_name"]
     return present(df.orderBy(*order), LAYOUT["product_growth_margin_drop"])
 
 
 def product_profit_flip(book: Book) -> DataFrame:
-    df = _yearly_change(book).where("previous_year_profit > 0 AND total_profit < 0")
+    df = _yearly_change(book).where("previous_year_profit > 0 AND total_profit < 0").join(book.star.products, "product_key")
     return present(df.orderBy("profit_change", "product_name"), LAYOUT["product_profit_flip"])
 
 

@@ -12,6 +12,7 @@ from ventaria.sources.tpch import Star
 PLACE = ["region", "country", "state", "city"]
 PRODUCT = ["product_key", "product_id", "product_name", "category", "sub_category"]
 CUSTOMER = ["customer_id", "customer_name", "segment"]
+PARTY = ("customer_id", "order_date")
 
 
 def sales_detail(star: Star) -> DataFrame:
@@ -27,6 +28,20 @@ def sales_detail(star: Star) -> DataFrame:
     )
 
 
+def facts(star: Star, header: tuple[str, ...] = (), product: tuple[str, ...] = ()) -> DataFrame:
+    """Order lines joined only to the dimensions whose columns are asked for.
+
+    Every line has its order and product (checked by the reference controls), so
+    leaving a join out changes no row.
+    """
+    df = star.lines
+    if header:
+        df = df.join(star.headers.select("order_key", *header), "order_key")
+    if product:
+        df = df.join(star.products.select("product_key", *product), "product_key")
+    return df
+
+
 def order_summary(star: Star) -> DataFrame:
     """One row per order.
 
@@ -60,25 +75,24 @@ def sold_products(star: Star) -> DataFrame:
     return star.products.join(star.lines.select("product_key"), "product_key", "left_semi")
 
 
-def subcategory_performance(star: Star, detail: DataFrame | None = None) -> DataFrame:
+def subcategory_performance(star: Star) -> DataFrame:
     keys = ["category", "sub_category"]
-    detail = sales_detail(star) if detail is None else detail
     sold = sold_products(star).groupBy(*keys).agg(F.count(F.lit(1)).alias("distinct_products"))
-    return line_rollup(detail, keys).join(sold, keys)
+    return line_rollup(facts(star, PARTY, tuple(keys)), keys).join(sold, keys)
 
 
-def category_performance(star: Star, detail: DataFrame | None = None) -> DataFrame:
-    detail = sales_detail(star) if detail is None else detail
+def category_performance(star: Star) -> DataFrame:
     sold = (
         sold_products(star).groupBy("category", "sub_category").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("category").agg(F.sum("n").alias("distinct_products"),
                                  F.count(F.lit(1)).alias("distinct_subcategories"))
     )
-    return line_rollup(detail, ["category"]).join(sold, "category")
+    return line_rollup(facts(star, PARTY, ("category",)), ["category"]).join(sold, "category")
 
 
-def product_performance(detail: DataFrame) -> DataFrame:
-    return line_rollup(detail, PRODUCT)
+def product_performance(star: Star) -> DataFrame:
+    """Folded by key; the texts of a product are attached to its one result row."""
+    return line_rollup(facts(star, PARTY), ["product_key"]).join(star.products, "product_key")
 
 
 def customer_performance(orders: DataFrame) -> DataFrame:

@@ -58,20 +58,21 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_star(spark: SparkSession, folder: str) -> Star:
     """Sales, profit and places by fixed rules over keys, so that unknown values,
     losses, reused codes and every shipping delay occur."""
-    priced = read_table(spark, folder, "lineitem").selectExpr(
+    # Cents and percent as whole numbers: exact, and free of decimal parsing per row.
+    whole = read_table(spark, folder, "lineitem").selectExpr(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "CAST(l_extendedprice AS DECIMAL(15,2)) AS price",
-        "CAST(CAST(l_discount AS DECIMAL(4,2)) * 6 AS DECIMAL(4,2)) AS discount",
+        "bigint(l_extendedprice * 100 + 0.5D) AS cents",
+        "bigint(l_discount * 100 + 0.5D) * 6 AS percent",
     )
-    lines = priced.selectExpr(
+    money = "CAST(CAST({} AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(15,6))"
+    lines = whole.selectExpr(
         "l_orderkey AS order_key",
         "l_partkey AS product_key",
         "l_orderkey * 8 + l_linenumber AS source_row_id",
-        "if((l_orderkey + l_partkey) % 23 != 0, CAST(price * (1 - discount) AS DECIMAL(15,6)), NULL) AS sales",
+        f"if((l_orderkey + l_partkey) % 23 != 0, {money.format('cents * (100 - percent)')}, NULL) AS sales",
         "if((l_partkey + l_suppkey) % 29 != 0, CAST(l_quantity AS INT), NULL) AS quantity",
-        "discount",
-        "if((l_orderkey + l_suppkey) % 19 != 0, "
-        "CAST(price * (1 - discount) - price * 0.70 AS DECIMAL(15,6)), NULL) AS profit",
+        "CAST(CAST(percent AS DECIMAL(4,0)) * 0.01 AS DECIMAL(4,2)) AS discount",
+        f"if((l_orderkey + l_suppkey) % 19 != 0, {money.format('cents * (30 - percent)')}, NULL) AS profit",
     )
 
     modes = " ".join(f"WHEN '{key}' THEN '{mode}'" for key, mode in SHIP_MODE_OF_PRIORITY.items())
