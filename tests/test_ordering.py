@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from ventaria.operators.ordering import number_rows, sort_key
+from ventaria.operators.ordering import dense_ranks, number_rows, sort_key, tiles
 
 
 @pytest.fixture(scope="module")
@@ -40,9 +40,19 @@ def test_rank_position_total_previous(rows, direction, partition):
 @pytest.mark.parametrize("n", [1, 3, 10, 2999])
 def test_tiles(rows, k, n):
     some = rows.where(F.col("id") < n)
-    got = number_rows(some, "v asc, id", tiles=(k, "t"))
-    want = some.select("*", F.ntile(k).over(Window.orderBy(sort_key("v", "asc"), "id")).alias("t"))
-    assert collect(got, "id", "t") == collect(want, "id", "t")
+    got = tiles(some, "id", {"up": "v asc", "down": "v desc"}, k)
+    want = some.select("*", F.ntile(k).over(Window.orderBy(sort_key("v", "asc"), "id")).alias("up"),
+                       F.ntile(k).over(Window.orderBy(sort_key("v", "desc"), "id")).alias("down"))
+    assert collect(got, "id", "up", "down") == collect(want, "id", "up", "down")
+
+
+def test_many_ranks_at_once(rows):
+    some = rows.select("*", (F.col("v").cast("double") / 3).alias("r"), F.col("v").cast("decimal(15,6)").alias("m"))
+    orders = {"a": "v desc", "b": "r asc", "c": "m desc", "d": "r desc"}
+    got = dense_ranks(some, "id", orders, {"c": ("g",)})
+    rank = lambda c, way, *p: F.dense_rank().over(Window.partitionBy(*p).orderBy(sort_key(c, way))).cast("long")
+    want = some.select("*", rank("v", "desc").alias("a"), rank("r", "asc").alias("b"), rank("m", "desc", "g").alias("c"), rank("r", "desc").alias("d"))
+    assert collect(got, "id", "a", "b", "c", "d") == collect(want, "id", "a", "b", "c", "d")
 
 
 def test_null_partition_key(spark):
@@ -54,4 +64,5 @@ def test_null_partition_key(spark):
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id int, v int")
-    assert number_rows(df, "v desc, id", position="p", dense_rank="d", tiles=(4, "t")).count() == 0
+    assert number_rows(df, "v desc, id", position="p", dense_rank="d").count() == 0
+    assert tiles(df, "id", {"t": "v asc"}, 4).count() == 0 and dense_ranks(df, "id", {"t": "v asc"}).count() == 0

@@ -10,6 +10,7 @@ The same works for a partitioned window whose groups may be very large.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DateType, DoubleType
 
 from ventaria.functions.expressions import all_of
 from ventaria.operators.scalars import attach
@@ -38,17 +39,15 @@ def number_rows(
     *,
     partition: tuple[str, ...] = (),
     position: str | None = None,
-    dense_rank: str | None = None,
+    dense_rank: str | tuple[str, int] | None = None,
     running: tuple[str, str] | None = None,
-    tiles: tuple[int, str] | None = None,
     previous: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Add order-dependent columns over ``order`` (its last key must be unique).
 
     position    row number
-    dense_rank  dense rank of the first key of ``order``
+    dense_rank  dense rank of the first key of ``order``, or (name, n) of the first n keys
     running     (source column, name): running sum up to and including the row
-    tiles       (k, name): NTILE(k), only without ``partition``
     previous    (source column, name): value of the preceding row (LAG 1)
     """
     keys = parse_order(order)
@@ -60,8 +59,9 @@ def number_rows(
     ranged = ranged.withColumn(SLICE, F.spark_partition_id())
     inside = Window.partitionBy(SLICE, *parts).orderBy(*sort)
     local = [F.row_number().over(inside).cast("long").alias("_n")]
+    dense_rank, width = dense_rank if isinstance(dense_rank, tuple) else (dense_rank, 1)
     if dense_rank:
-        by_value = Window.partitionBy(SLICE, *parts).orderBy(sort[0])
+        by_value = Window.partitionBy(SLICE, *parts).orderBy(*sort[:width])
         local.append(F.dense_rank().over(by_value).cast("long").alias("_d"))
     if running:
         local.append(F.sum(running[0]).over(inside.rowsBetween(_START, 0)).alias("_s"))
@@ -69,7 +69,7 @@ def number_rows(
         local.append(F.lag(previous[0]).over(inside).alias("_p"))
     numbered = settle(ranged.select("*", *local))
 
-    value = F.col(keys[0][0])
+    value = F.struct(*[F.col(name) for name, _ in keys[:width]])
     facts = [F.max("_n").alias("n")]
     if dense_rank:
         facts += [F.max("_d").alias("d"), F.min_by(value, "_n").alias("head"),
@@ -112,10 +112,6 @@ def number_rows(
     if previous:
         crossing = (F.col("_n") == 1) & F.col("_n0").isNotNull()
         added.append(F.when(crossing, F.col("_p0")).otherwise(F.col("_p")).alias(previous[1]))
-    if tiles:
-        k, name = tiles
-        joined = attach(joined, slices.agg(F.sum("n").alias("_rows")))
-        added.append(tile_of(row_number, F.col("_rows"), k).alias(name))
     return joined.select(*[F.col(c) for c in df.columns], *added)
 
 
@@ -129,12 +125,59 @@ def tile_of(row_number: Column, rows: Column, k: int) -> Column:
     return F.when(row_number <= edge, head).otherwise(tail).cast("int")
 
 
+_SORT = "_unknown, _exact, _real"
+
+
+def _melted(df: DataFrame, ids: list[str], orders: dict[str, str], partitions: dict[str, tuple[str, ...]]) -> DataFrame:
+    """One narrow row per entity and ordering, all sorted by the same three keys.
+
+    Descending orders are negated; exact numbers and reals keep their own column,
+    so equal stays equal. The scope is the ordering and its partition.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    rows = []
+    for name, order in orders.items():
+        (column, way), = parse_order(order)
+        sign = "-" if way == "desc" else ""
+        unknown = F.expr(f"if({column} IS NULL, {'1, 0' if way == 'desc' else '0, 1'})")
+        kind = kinds[column]
+        exact = F.datediff(F.col(column), F.lit("1970-01-01")) if isinstance(kind, DateType) else F.col(column)
+        real = isinstance(kind, DoubleType)
+        signed = lambda c: -c if sign else c
+        scope = F.concat_ws("\u0001", F.lit(name), *[F.coalesce(F.col(p).cast("string"), F.lit("\u0002")) for p in partitions.get(name, ())])
+        rows.append(F.struct(
+            F.lit(name).alias("_name"), scope.alias("_scope"), unknown.alias("_unknown"),
+            (F.lit(None) if real else signed(exact)).cast("decimal(38,6)").alias("_exact"),
+            (signed(F.col(column)) if real else F.lit(None)).cast("double").alias("_real")))
+    return df.select(*ids, F.explode(F.array(*rows)).alias("_m")).select(*ids, "_m.*")
+
+
+def _beside(df: DataFrame, ids: list[str], melted: DataFrame, names: list[str], value: Column) -> DataFrame:
+    """Back to one row per entity, next to its other columns."""
+    wide = melted.groupBy(*[F.col(i).alias(f"_id{n}") for n, i in enumerate(ids)]).agg(
+        *[F.max(F.when(F.col("_name") == name, value)).alias(name) for name in names])
+    match = all_of([F.col(i).eqNullSafe(F.col(f"_id{n}")) for n, i in enumerate(ids)])
+    return df.join(wide, match).select(*df.columns, *names)
+
+
 def dense_ranks(df: DataFrame, unique: str, ranks: dict[str, str], partitions: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
-    """Several distributed dense ranks: ``{rank name: 'measure desc'}``."""
-    partitions = partitions or {}
-    for name, order in ranks.items():
-        df = number_rows(df, f"{order}, {unique}", partition=partitions.get(name, ()), dense_rank=name)
-    return df
+    """Several dense ranks ``{rank name: 'measure desc'}`` in one distributed pass.
+
+    ``df`` is read twice: settle it first. The entities are sorted as narrow rows,
+    all orderings together, however many entities and ties there are.
+    """
+    ids = [name for name, _ in parse_order(unique)]
+    melted = _melted(df, ids, ranks, partitions or {})
+    ranked = number_rows(melted, f"{_SORT}, {unique}", partition=("_scope",), dense_rank=("_rank", 3))
+    return _beside(df, ids, ranked, list(ranks), F.col("_rank"))
+
+
+def tiles(df: DataFrame, unique: str, orders: dict[str, str], k: int) -> DataFrame:
+    """Several NTILE(k) in one distributed pass; ties are cut by ``unique``."""
+    ids = [name for name, _ in parse_order(unique)]
+    placed = number_rows(_melted(df, ids, orders, {}), f"{_SORT}, {unique}", partition=("_scope",), position="_place")
+    out = attach(_beside(df, ids, placed, list(orders), F.col("_place")), df.agg(F.count(F.lit(1)).alias("_rows")))
+    return out.select(*df.columns, *[tile_of(F.col(name), F.col("_rows"), k).alias(name) for name in orders])
 
 
 def small_ranks(df: DataFrame, ranks: dict[str, str], partitions: dict[str, tuple[str, ...]] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from ventaria.functions.expressions import (
     flag, mean_of, mean_of_fine, month_start, months_apart, pct, ratio, rounded)
 from ventaria.functions.measures import order_rollup
 from ventaria.functions.present import derive, present
-from ventaria.operators.ordering import dense_ranks, number_rows, small_ranks, small_share
+from ventaria.operators.ordering import dense_ranks, small_ranks, small_share, tiles
 from ventaria.operators.quadrant import against_mean, profile_order, quadrant_label
 from ventaria.operators.reconcile import compare_totals, count_against, uniqueness
 from ventaria.operators.scalars import attach
@@ -62,16 +62,10 @@ def customer_uniqueness(book: Book) -> DataFrame:
     return uniqueness(_customers(book), ["customer_id"], "total_customers", "unique_customers", "duplicates")
 
 
-def _tiles(df: DataFrame, tiles: dict[str, str], k: int) -> DataFrame:
-    for name, order in tiles.items():
-        df = number_rows(df, f"{order}, customer_id", tiles=(k, name))
-    return df
-
-
 def _value_frequency(book: Book, *columns: str) -> DataFrame:
     df = narrow(_customers(book), *CUSTOMER, "total_orders", "total_sales", "total_profit", *columns)
-    df = _tiles(df.where("total_sales IS NOT NULL"),
-                {"value_group": "total_sales asc", "frequency_group": "total_orders asc"}, 2)
+    df = tiles(settle(df.where("total_sales IS NOT NULL")), "customer_id",
+               {"value_group": "total_sales asc", "frequency_group": "total_orders asc"}, 2)
     value = F.when(F.col("value_group") == 2, "Alto valor").otherwise("Bajo valor")
     often = F.when(F.col("frequency_group") == 2, "Alta frecuencia").otherwise("Baja frecuencia")
     return df.select("*", F.concat(value, F.lit(" - "), often).alias("customer_profile"))
@@ -134,8 +128,8 @@ def rfm_scores(customers: DataFrame) -> DataFrame:
     base = settle(customers.where("total_sales IS NOT NULL"))
     df = attach(base, base.agg(F.max("last_order_date").alias("analysis_reference_date")))
     df = df.select("*", F.date_diff("analysis_reference_date", "last_order_date").alias("recency_days"))
-    return _tiles(df, {"recency_score": "recency_days desc", "frequency_score": "total_orders asc",
-                       "monetary_score": "total_sales asc"}, 4)
+    return tiles(df, "customer_id", {"recency_score": "recency_days desc", "frequency_score": "total_orders asc",
+                                     "monetary_score": "total_sales asc"}, 4)
 
 
 def customer_rfm(book: Book) -> DataFrame:

@@ -101,9 +101,9 @@ def period_top_products(book: Book, start: Day = None, end: Day = None, n: int |
     n = _top(n)
     period = Period(book, start, end)
     df = line_rollup(period.within(book.facts(PARTY)), ["product_key"])
-    df = narrow(df, "product_key", "total_orders", "distinct_customers", "total_order_lines", "total_sales", "total_quantity",
+    df = settle(narrow(df, "product_key", "total_orders", "distinct_customers", "total_order_lines", "total_sales", "total_quantity",
                 "total_profit", "average_line_discount", "comparable_profit_margin_percentage", "loss_making_lines",
-                "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines")
+                "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines"))
     df = dense_ranks(df, "product_key", {"profit_rank": "total_profit desc",
                                          "margin_rank": "comparable_profit_margin_percentage desc"})
     df = number_rows(df, "total_sales desc, total_profit desc, product_key", position="sales_position")
