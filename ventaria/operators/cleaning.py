@@ -178,17 +178,21 @@ def tidy_rows(raw: DataFrame) -> DataFrame:
 
 
 def clean_text(raw: DataFrame, aliases: DataFrame | None = None, cities: DataFrame | None = None) -> DataFrame:
-    """All steps in their order; later steps see the results of earlier ones.
+    """All steps in their order; later steps see the results of earlier ones."""
+    return complete_text(settle(tidy_rows(raw)), aliases, cities)
 
-    The tidy rows are written once.  Every lookup (mode per order, price,
-    margin, alias, city) is a grouping of a few of their columns, so the rows
-    themselves pass through the joins once; only the margins need a second,
-    narrow pass, because recovered sales take part in them.
+
+def complete_text(base: DataFrame, aliases: DataFrame | None = None, cities: DataFrame | None = None) -> DataFrame:
+    """The steps that look at other rows, over settled tidy rows.
+
+    Every lookup (mode per order, price, margin, alias, city) is a grouping of a
+    few columns of ``base``, so the rows themselves pass through the joins once;
+    only the margins need a second, narrow pass, because recovered sales take
+    part in them.
 
     ``aliases`` (_alias, _canonical) and ``cities`` (_key, _usual) may be given;
     otherwise they are found from the data.
     """
-    base = settle(tidy_rows(raw))
     modes = single_value(base, "order_id", "ship_mode")
     prices = settle(unit_prices(base))
     measures = base.select("product_id", "discount", "sales", "quantity", "profit")

@@ -46,11 +46,11 @@ class Sheets:
     @cached_property
     def tidy(self) -> DataFrame:
         """After the row-wise steps, before any value is recovered."""
-        return settle(C.tidy_rows(self.raw))
+        return settle(C.tidy_rows(self._raw))
 
     @cached_property
     def text(self) -> DataFrame:
-        return settle(C.clean_text(self.raw))
+        return settle(C.complete_text(self.tidy))
 
     @cached_property
     def judged(self) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,32 +23,44 @@ def local_session(app: str = "ventaria", cores: str | int = "*") -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; a private one only in local mode."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a private one only in local mode."""
+    global _private
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="ventaria-checkpoint-")
-    context.setCheckpointDir(folder)
+        if _private is None:
+            _private = tempfile.mkdtemp(prefix="ventaria-")
+            atexit.register(shutil.rmtree, _private, ignore_errors=True)
+        folder = _private
+    return f"{folder.rstrip('/')}/ventaria/{spark.sparkContext.applicationId}"
+
+
+_private: str | None = None
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and continue from the files.
+    """Write ``df`` once to the shared folder and continue from the files.
 
     Used for grouped results that several later steps read, so that the fact
     scan behind them runs once, and where a row's partition number has become
-    data and must not change when a task is retried.
+    data and must not change when a task is retried. Being columnar, later steps
+    read only the columns they need; executors may be lost at any time.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_settled(spark: SparkSession) -> None:
+    """Delete everything this application settled, once its results are no longer read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
