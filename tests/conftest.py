@@ -21,3 +21,12 @@ def spark():
 @pytest.fixture(scope="session")
 def small():
     return SMALL
+
+
+@pytest.fixture
+def many_slices(spark):
+    """Keep small slices apart, so that small data crosses slice borders."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)

@@ -60,7 +60,7 @@ def images(spark, rows):
     return spark.createDataFrame(rows, S.IMAGES)
 
 
-def test_versions_of_one_hot_record(spark):
+def test_versions_of_one_hot_record(spark, many_slices):
     """One record owns nearly all versions, so its history spans many slices."""
     rows = [("hot", v, f"i{v // 2}") for v in range(400)] + [("cold", 0, "a"), ("cold", 1, None), ("cold", 2, None), ("cold", 3, "b")]
     events = L.log_versions(images(spark, rows)).collect()

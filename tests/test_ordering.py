@@ -5,9 +5,13 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
+from ventaria.operators import ordering
 from ventaria.operators.ordering import dense_ranks, number_rows, sort_key, tiles
 
 
+pytestmark = pytest.mark.usefixtures("many_slices")
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     """A third of the values equal, a third unknown; one group holds most rows."""
@@ -20,6 +24,14 @@ def rows(spark):
     return spark.createDataFrame(data, "id int, g string, v int").repartition(7).cache()
 
 
+def test_rows_really_cross_slices(rows, monkeypatch):
+    seen = []
+    keep = ordering.settle
+    monkeypatch.setattr(ordering, "settle", lambda df: seen.append(keep(df)) or seen[-1])
+    number_rows(rows, "v desc, id", position="p").count()
+    assert seen[0].select(ordering.SLICE).distinct().count() >= 6
+
+
 def collect(df, *columns):
     return sorted(tuple(r[c] for c in columns) for r in df.collect())
 

@@ -4,6 +4,8 @@ A window without PARTITION BY sends every row to one task.  Here the rows are
 range-partitioned by the sort keys (the last key is unique, so equal values,
 however many, can be cut anywhere), each slice is numbered by its own window,
 and one small row per slice tells the later slices where to go on counting.
+No slice count is fixed: adaptive execution merges neighbouring small slices,
+which keeps their order.
 The same works for a partitioned window whose groups may be very large.
 """
 
@@ -52,10 +54,9 @@ def number_rows(
     """
     keys = parse_order(order)
     sort = [sort_key(*k) for k in keys]
-    slices_wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = list(partition)
 
-    ranged = df.repartitionByRange(slices_wanted, *[F.col(p) for p in parts], *sort)
+    ranged = df.repartitionByRange(*[F.col(p) for p in parts], *sort)
     ranged = ranged.withColumn(SLICE, F.spark_partition_id())
     inside = Window.partitionBy(SLICE, *parts).orderBy(*sort)
     local = [F.row_number().over(inside).cast("long").alias("_n")]
