@@ -80,13 +80,21 @@ def test_alias_ids_become_the_first_seen(spark):
     assert [out[str(i)]["customer_id"] for i in range(1, 5)] == ["A-1", "A-1", "A-1", "B-1"]
 
 
+def test_one_id_that_is_an_alias_under_two_names(spark):
+    """Each name has its own canonical id, and no row is doubled."""
+    rows = [{"customer_name": n, "customer_id": i, "order_date": d} for n, i, d in (
+        ("X", "B", "2023-01-01"), ("X", "A", "2023-02-01"), ("Y", "C", "2023-01-01"), ("Y", "A", "2023-02-01"))]
+    text = C.clean_text(frame(spark, *rows)).collect()
+    assert sorted((r["row_id"], r["customer_id"]) for r in text) == [("1", "B"), ("2", "B"), ("3", "C"), ("4", "C")]
+
+
 def test_one_city_per_postal_code(spark):
     out = cleaned(spark, {}, {}, {"city": "San Diego"}, {"postal_code": "1", "city": "X"})
     assert [out[str(i)]["city"] for i in range(1, 5)] == ["Encinitas"] * 3 + ["X"]
 
 
 def test_given_maps_are_used(spark):
-    aliases = spark.createDataFrame([("A-9", "A-1")], "_alias string, _canonical string")
+    aliases = spark.createDataFrame([("Ann", "A-9", "A-1")], "_name string, _alias string, _canonical string")
     cities = spark.createDataFrame([("92024", "Leucadia")], "_key string, _usual string")
     row = C.clean_text(frame(spark, {"customer_id": "A-9"}), aliases, cities).first()
     assert (row["customer_id"], row["city"]) == ("A-1", "Leucadia")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ventaria.functions.expressions import all_of
 from ventaria.operators.profiling import ISO_DATE
 from ventaria.session import settle
 from ventaria.sources.sales_text import COLUMNS
@@ -148,17 +149,23 @@ def fill_measures(df: DataFrame, prices: DataFrame, margins: DataFrame | None =
 
 
 def alias_map(df: DataFrame, name: str = "customer_name", ident: str = "customer_id", seen: str = "order_date") -> DataFrame:
-    """(alias, canonical): of several ids with one name the first seen is kept."""
+    """(name, alias, canonical): of several ids with one name the first seen is kept.
+
+    The name stays part of the key: one id may be an alias under several names.
+    """
     first = df.where(f"{name} IS NOT NULL AND {ident} IS NOT NULL").groupBy(name, ident).agg(
         F.min(F.try_to_date(seen, "yyyy-MM-dd")).alias("first"))
     rank = F.struct(F.col("first").isNull(), F.col("first"), F.col(ident))
     best = first.groupBy(name).agg(F.min_by(ident, rank).alias("_canonical"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    return first.join(best, name).where(F.col(ident) != F.col("_canonical")).select(F.col(ident).alias("_alias"), "_canonical")
+    return first.join(best, name).where(F.col(ident) != F.col("_canonical")).select(
+        F.col(name).alias("_name"), F.col(ident).alias("_alias"), "_canonical")
 
 
-def replace_by_map(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str, on: str | None = None) -> DataFrame:
-    """Overwrite ``column`` where ``on`` (default: itself) has an entry in ``mapping``."""
-    joined = df.join(mapping, F.col(on or column) == F.col(key), "left")
+def replace_by_map(df: DataFrame, column: str, mapping: DataFrame, value: str, match: dict[str, str]) -> DataFrame:
+    """Overwrite ``column`` by ``value`` of the mapping row that agrees on
+    ``match`` ({column: mapping column}); the mapping has one row per key."""
+    same = all_of([F.col(c) == F.col(m) for c, m in match.items()])
+    joined = df.join(mapping, same, "left")
     return joined.withColumn(column, F.coalesce(F.col(value), F.col(column))).select(*df.columns)
 
 
@@ -190,7 +197,7 @@ def complete_text(base: DataFrame, aliases: DataFrame | None = None, cities: Dat
     only the margins need a second, narrow pass, because recovered sales take
     part in them.
 
-    ``aliases`` (_alias, _canonical) and ``cities`` (_key, _usual) may be given;
+    ``aliases`` (_name, _alias, _canonical) and ``cities`` (_key, _usual) may be given;
     otherwise they are found from the data.
     """
     modes = single_value(base, "order_id", "ship_mode")
@@ -205,8 +212,8 @@ def complete_text(base: DataFrame, aliases: DataFrame | None = None, cities: Dat
         return fill_measures(fill_from_group(rows, "order_id", "ship_mode", modes), prices, margins)
 
     df = only_where(base, "ship_mode IS NULL OR sales IS NULL OR quantity IS NULL OR profit IS NULL", complete)
-    df = replace_by_map(df, "customer_id", aliases, "_alias", "_canonical")
-    return replace_by_map(df, "city", cities, "_key", "_usual", on="postal_code")
+    df = replace_by_map(df, "customer_id", aliases, "_canonical", {"customer_name": "_name", "customer_id": "_alias"})
+    return replace_by_map(df, "city", cities, "_usual", {"postal_code": "_key"})
 
 
 def typed(text: DataFrame) -> DataFrame:
