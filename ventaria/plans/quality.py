@@ -58,7 +58,7 @@ class Sheets:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return settle(self.judged.where(F.size("broken_rules") == 0).drop("broken_rules"))
+        return self.judged.where(F.size("broken_rules") == 0).drop("broken_rules")
 
     @cached_property
     def model(self) -> Snowflake:
