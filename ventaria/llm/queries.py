@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from ventaria.llm import bpe, secrets, toxicity
+from ventaria.llm import bpe, chat, rules, secrets, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_quality": rules.op2_quality,
+    "op3_chat": chat.op3_chat,
     "op4_bpe": bpe.op4_bpe,
     "op6_secrets": secrets.op6_secrets,
 }
 
-STATEMENTS: dict[str, str] = {}
+STATEMENTS: dict[str, str] = {
+    "op3_chat": chat.OP3_SQL,
+}
