@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
-from ventaria.llm import bpe, chat, rules, secrets, toxicity
+from collections.abc import Callable
 
-QUERIES = {
+from pyspark.sql import DataFrame, SparkSession
+
+from ventaria.llm import bpe, chat, minhash, rules, secrets, text, toxicity
+
+
+def ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(text.importable(spark), sf_dir)
+
+
+QUERIES = {name: ready(query) for name, query in {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_quality": rules.op2_quality,
     "op3_chat": chat.op3_chat,
     "op4_bpe": bpe.op4_bpe,
     "op6_secrets": secrets.op6_secrets,
-}
+    "op9_minhash": minhash.op9_minhash,
+}.items()}
 
 STATEMENTS: dict[str, str] = {
     "op3_chat": chat.OP3_SQL,
+    "op9_minhash": minhash.OP9_SQL,
 }
