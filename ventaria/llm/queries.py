@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ventaria.llm import bpe, chat, minhash, rules, secrets, text, toxicity
+from ventaria.llm import bpe, chat, decontam, licenses, minhash, rules, secrets, text, toxicity
 
 
 def ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -18,8 +18,10 @@ QUERIES = {name: ready(query) for name, query in {
     "op2_quality": rules.op2_quality,
     "op3_chat": chat.op3_chat,
     "op4_bpe": bpe.op4_bpe,
+    "op5_decontamination": decontam.op5_decontamination,
     "op6_secrets": secrets.op6_secrets,
     "op9_minhash": minhash.op9_minhash,
+    "op10_licenses": licenses.op10_licenses,
 }.items()}
 
 STATEMENTS: dict[str, str] = {
