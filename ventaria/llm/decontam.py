@@ -159,7 +159,8 @@ class Index:
         cells = -(-words.counts // self.cell)
         start = np.concatenate([[0], np.cumsum(cells + 1)])  # one empty cell between texts
         cell = start[text] + (at - words.first[text]) // self.cell
-        pairs = np.unique(cell * len(self.terms) + term)
+        pairs = np.sort(cell * len(self.terms) + term, kind="stable")  # nearly in order
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])]
         cell, term = pairs // len(self.terms), pairs % len(self.terms)
         edges = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
         bound = np.zeros((start[-1] + 1, self.blocks), np.float32)

@@ -241,6 +241,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         F.when(F.col("n") > 0, F.col("doc_id") == F.col("component_id")).otherwise(F.lit(True)).alias("kept"))
 
 
+def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One document of each component stays, the one with the smallest id; all columns stay."""
+    gone = near_duplicates(docs, settings).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(settle(gone), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(T.documents(spark, sf_dir))
 
