@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ventaria.llm import bpe, chat, decontam, licenses, minhash, rules, secrets, text, toxicity
+from ventaria.llm import bpe, chat, decontam, fm_index, licenses, minhash, rules, secrets, suffix, text, toxicity
 
 
 def ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,11 +20,14 @@ QUERIES = {name: ready(query) for name, query in {
     "op4_bpe": bpe.op4_bpe,
     "op5_decontamination": decontam.op5_decontamination,
     "op6_secrets": secrets.op6_secrets,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
+    "op8_substring_dedup": fm_index.op8_substring_dedup,
     "op9_minhash": minhash.op9_minhash,
     "op10_licenses": licenses.op10_licenses,
 }.items()}
 
 STATEMENTS: dict[str, str] = {
     "op3_chat": chat.OP3_SQL,
+    "op8_substring_dedup": fm_index.OP8_SQL,
     "op9_minhash": minhash.OP9_SQL,
 }
