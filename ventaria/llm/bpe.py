@@ -46,7 +46,7 @@ def byte_symbols() -> list[str]:
 class Codec:
     """Encoder and decoder of one vocabulary file (word-end BPE over byte symbols)."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, young: str = "", small: tuple[tuple[int, str], ...] = ()):
         spec = json.loads(definition)
         mark, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
         self.symbols = str.maketrans(dict(enumerate(byte_symbols())))
@@ -56,7 +56,13 @@ class Codec:
         self.ranks = {(inner(a), inner(b)): r for r, (a, b) in enumerate(spec["model"]["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"], regex.V0)
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = regex.compile(pattern, regex.V0)
+        self.small = dict(small)
+        self.first_young = min([*young, *map(chr, self.small)], default=chr(0x10FFFF))
+        for kind in (r"\p{L}", r"\p{N}"):
+            pattern = pattern.replace(kind, f"[{kind}--[{young}]]") if young else pattern
+        self.wide_pattern = regex.compile(pattern, regex.V1)
         self.automaton = ahocorasick.Automaton()
         for token in self.ids:
             self.automaton.add_word(token[::-1], len(token))
@@ -130,9 +136,12 @@ class Codec:
         return made
 
     def plain(self, text: str) -> bytes:
+        pattern = self.pattern
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # each character is lowered by itself
-        return b"".join(map(self.word_ids, self.pattern.findall(text.lower())))
+            if max(text) >= self.first_young:
+                pattern, text = self.wide_pattern, text.translate(self.small)
+        return b"".join(map(self.word_ids, pattern.findall(text.lower())))
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -152,8 +161,26 @@ class Codec:
 
 
 @lru_cache(2)
-def codec_of(definition: str) -> Codec:
-    return Codec(definition)
+def codec_of(definition: str, young: tuple[str, tuple[tuple[int, str], ...]] = ("", ())) -> Codec:
+    return Codec(definition, *young)
+
+
+def young_letters() -> tuple[str, tuple[tuple[int, str], ...]]:
+    """Where character tables of different age disagree with the tokenizers library's own.
+
+    Letters and digits of this regex module that the library does not know yet,
+    and small letters that it knows and this Python does not.
+    """
+    from tokenizers import Regex
+    from tokenizers.normalizers import Lowercase
+    from tokenizers.pre_tokenizers import Split
+
+    every = "".join(map(chr, (*range(128, 0xD800), *range(0xE000, 0x110000))))
+    doubtful = "".join(c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn")
+    known = Split(Regex(r"[\p{L}\p{N}]"), "removed", invert=True).pre_tokenize_str(doubtful)
+    known = {c for c, _ in known}
+    small = ((c, Lowercase().normalize_str(c)) for c in sorted(doubtful))
+    return "".join(sorted(set(doubtful) - known)), tuple((ord(c), x) for c, x in small if x != c)
 
 
 def tokenizer_text(path: str | None = None) -> str:
@@ -168,10 +195,10 @@ def tokenizer_text(path: str | None = None) -> str:
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids (array of int), decoded text."""
-    definition = docs.sparkSession.sparkContext.broadcast(tokenizer_text(path))
+    parts = docs.sparkSession.sparkContext.broadcast((tokenizer_text(path), young_letters()))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codec = codec_of(definition.value)
+        codec = codec_of(*parts.value)
         ids = [codec.encode(t) for t in T.texts_of(batch)]
         cuts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
         flat = pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32))
@@ -183,10 +210,10 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: the same codec, digests taken where the ids are."""
-    definition = docs.sparkSession.sparkContext.broadcast(tokenizer_text(path))
+    parts = docs.sparkSession.sparkContext.broadcast((tokenizer_text(path), young_letters()))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        codec = codec_of(definition.value)
+        codec = codec_of(*parts.value)
         ids = [codec.encode(t) for t in T.texts_of(batch)]
         return T.named_batch(doc_id=batch.column("doc_id"), n_tokens=np.array([len(x) // 4 for x in ids], np.int64),
                              ids_sha256=pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
