@@ -128,7 +128,7 @@ class Scanner:
                 left = max(0, starts[low] - slack)
                 window = hashes[left:max(left, starts[high - 1] + len(words) + slack)].tolist()
                 pairs = align(window, words)
-                if len(pairs) >= self.least * len(words):
+                if len(pairs) >= self.least * len(words) and pairs[-1][0] - pairs[0][0] < len(words) + slack:
                     made = (k, len(pairs) / len(words), len(pairs), left + pairs[0][0], left + pairs[-1][0])
                     if best and made[3] <= best[-1][4]:  # the same words reached from two windows
                         best[-1] = max(best[-1], made, key=lambda x: (x[2], -x[3]))
