@@ -69,7 +69,7 @@ def held(df: DataFrame) -> DataFrame:
 def base_statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id, text, words and the counts of the base rule; with ``carry`` also the whole input row as ``row``."""
     also = ["row"] if carry else []
-    docs = docs.select("*", F.struct(*[docs[c] for c in docs.columns]).alias("row")) if carry else docs
+    docs = docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row")) if carry else docs
     t = F.coalesce(docs["text"].cast("string"), F.lit(""))
     cut = held(docs.select(*also, docs["doc_id"].cast("long").alias("doc_id"), t.alias("text"),
                       F.array_remove(F.split(t, BLANKS), "").alias("words"),
