@@ -23,7 +23,7 @@ once AS (
       WHEN o % 8 = 1 THEN strftime(d, '%d-%b-%Y') WHEN o % 8 = 2 THEN strftime(d, '%d.%m.%Y') WHEN o % 8 = 3 THEN strftime(d, '%Y%m%d') ELSE strftime(d, '%Y-%m-%d') END AS order_date,
     strftime(d + CASE WHEN o % 97 = 5 THEN -2 ELSE CAST(o % 11 AS INTEGER) END, '%Y-%m-%d') AS ship_date,
     CASE WHEN m IS NULL THEN '' WHEN (o + n) % 5 = 0 THEN NULL WHEN o % 31 = 7 AND n % 2 = 0 THEN 'Same Day' WHEN o % 13 = 3 THEN '  ' || m || ' ' ELSE m END AS ship_mode,
-    CASE WHEN o % 41 = 6 THEN 'CX-' ELSE 'CU-' END || c AS customer_id, c_name AS customer_name,
+    CASE WHEN o % 41 = 6 THEN 'CX-' ELSE 'CU-' END || c AS customer_id, c_name || CASE WHEN c % 173 = 7 AND o % 5 = 1 THEN ' Jr' ELSE '' END AS customer_name,
     CASE WHEN o % 211 = 9 THEN 'Retail'
       WHEN c % 3 = 0 THEN CASE o % 7 WHEN 1 THEN 'Counsumer' WHEN 2 THEN 'CONSUMR' WHEN 3 THEN 'consumer' ELSE 'Consumer' END
       WHEN c % 3 = 1 THEN CASE o % 7 WHEN 1 THEN 'corp.' WHEN 2 THEN 'Corperate' ELSE 'Corporate' END
@@ -31,11 +31,11 @@ once AS (
     n_name AS country, n_name || CASE WHEN b = 3 AND o % 37 = 4 THEN '_Old' ELSE '_C' END || b AS city, n_name || '_S' || (b % 4) AS state,
     CAST(n_nationkey * 100 + b AS VARCHAR) AS postal_code, r_name AS region, 'P-' || CASE WHEN p % 50 = 1 THEN p - 1 ELSE p END AS product_id,
     CASE WHEN n = 3 THEN ' ' ELSE '' END || CASE p % 3 WHEN 0 THEN 'Furniture' WHEN 1 THEN 'Office Supplies' ELSE 'Technology' END || CASE WHEN n = 3 THEN '  ' ELSE '' END AS category,
-    p_brand AS sub_category, p_name || ' #' || p AS product_name,
-    CASE WHEN (o + p) % 23 = 0 THEN NULL WHEN (o + p) % 46 = 1 THEN '   ' ELSE CAST(net AS VARCHAR) END AS sales,
-    CASE WHEN (p + s) % 29 = 0 THEN NULL ELSE q || CASE WHEN o % 3 = 0 THEN '.0' ELSE '' END END AS quantity,
+    CASE WHEN p % 211 = 5 AND n = 2 THEN 'Brand#99' ELSE p_brand END AS sub_category, p_name || ' #' || p AS product_name,
+    CASE WHEN (o * 13 + n) % 509 = 7 THEN replace(CAST(net AS VARCHAR), '.', ',') WHEN (o + p) % 23 = 0 THEN NULL WHEN (o + p) % 46 = 1 THEN '   ' ELSE CAST(net AS VARCHAR) END AS sales,
+    CASE WHEN (o * 17 + n) % 509 = 9 THEN 'two' WHEN (p + s) % 29 = 0 THEN NULL ELSE q || CASE WHEN o % 3 = 0 THEN '.0' ELSE '' END END AS quantity,
     CASE WHEN disc = 0.54 AND o % 4 = 0 THEN '5.5' ELSE CAST(disc AS VARCHAR) END AS discount,
-    CASE WHEN (o + s) % 19 = 0 THEN NULL ELSE CAST(CAST(net * CAST((p % 7 - 2) * 0.1 AS DECIMAL(3,1)) AS DECIMAL(15,5)) AS VARCHAR) END AS profit,
+    CASE WHEN (o * 19 + n) % 509 = 11 THEN 'abc' WHEN (o + s) % 19 = 0 THEN NULL ELSE CAST(CAST(net * CAST((p % 7 - 2) * 0.1 AS DECIMAL(3,1)) AS DECIMAL(15,5)) AS VARCHAR) END AS profit,
     (o * 7 + n) % 20 = 0 AS twice
   FROM priced),
 raw AS (SELECT * EXCLUDE (twice) FROM once UNION ALL SELECT * EXCLUDE (twice) FROM once WHERE twice)
@@ -88,21 +88,34 @@ margins AS (SELECT product_id, dk2, MIN(mg) AS margin FROM (SELECT *, {exact(f"C
 joined AS (SELECT f.* REPLACE (COALESCE(f.ship_mode, modes.v) AS ship_mode), margin FROM filled f LEFT JOIN margins g ON g.product_id = f.product_id AND g.dk2 = f.dk2 LEFT JOIN modes ON modes.order_id = f.order_id),
 gained AS (SELECT * REPLACE (CASE WHEN {PROFIT_OK} THEN CAST(CAST(ROUND({num('sales')} * margin, 6) AS DECIMAL(20,6)) AS VARCHAR) ELSE profit END AS profit) FROM joined),
 ids AS (SELECT customer_name, customer_id, MIN(CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE)) AS f FROM tidy GROUP BY 1, 2),
-alias AS (SELECT customer_id AS a, FIRST_VALUE(customer_id) OVER (PARTITION BY customer_name ORDER BY (f IS NULL), f, customer_id) AS canon FROM ids),
+alias AS (SELECT customer_name AS an, customer_id AS a, FIRST_VALUE(customer_id) OVER (PARTITION BY customer_name ORDER BY (f IS NULL), f, customer_id) AS canon FROM ids),
 usual AS (SELECT postal_code AS pc, city AS u FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY postal_code ORDER BY n DESC, city DESC) AS k FROM (SELECT postal_code, city, COUNT(*) n FROM tidy GROUP BY 1, 2)) WHERE k = 1),
 txt AS (SELECT {', '.join('COALESCE(canon, customer_id) AS customer_id' if c == 'customer_id' else 'COALESCE(u, city) AS city' if c == 'city' else c for c in COLS)}
-  FROM gained LEFT JOIN alias ON a = customer_id LEFT JOIN usual ON pc = postal_code)
+  FROM gained LEFT JOIN alias ON a = customer_id AND an = customer_name LEFT JOIN usual ON pc = postal_code)
 """
 REQUIRED = [c for c in COLS if c not in ("ship_mode", "sales", "quantity", "profit")]
 RULES = {**{f"{c}_missing": f"{c} IS NULL" for c in REQUIRED}, "ship_before_order": "ship_date < order_date",
          "segment_domain": "segment NOT IN ('Consumer', 'Corporate', 'Home Office')", "category_domain": "category NOT IN ('Furniture', 'Office Supplies', 'Technology')",
          "ship_mode_domain": "ship_mode NOT IN ('Standard Class', 'Second Class', 'First Class', 'Same Day')", "sales_not_positive": "sales <= 0",
          "quantity_not_positive": "quantity <= 0", "discount_range": "discount NOT BETWEEN 0 AND 1"}
+LOST = {c: f"({c} IS NOT NULL AND {t} IS NULL)" for c, t in (
+    ("sales", "TRY_CAST(sales AS DECIMAL(15,6))"), ("quantity", num("quantity")), ("profit", "TRY_CAST(profit AS DECIMAL(15,6))"))}
+CONFLICTS = (("customer_conflict", "customer_id", ("customer_name", "segment")), ("product_conflict", "product_id, product_name", ("category", "sub_category")),
+             ("order_conflict", "order_id, customer_id, region, country, state, city, postal_code", ("order_date", "ship_date", "ship_mode")))
+
+
+def conflict(keys: str, attributes: tuple[str, ...]) -> str:
+    over = f"OVER (PARTITION BY broken_rules = '', {keys})"
+    return "broken_rules = '' AND (" + " OR ".join(
+        f"coalesce(MIN({a}) {over} <> MAX({a}) {over}, false) OR COUNT({a}) {over} NOT IN (0, COUNT(*) {over})" for a in attributes) + ")"
+
+
 CLEAN = f"""
 typ AS (SELECT * REPLACE (TRY_CAST(row_id AS BIGINT) AS row_id, CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date, CAST(try_strptime(ship_date, '%Y-%m-%d') AS DATE) AS ship_date,
-  TRY_CAST(sales AS DECIMAL(15,6)) AS sales, CAST(ROUND({num('quantity')}) AS BIGINT) AS quantity, TRY_CAST(discount AS DECIMAL(4,2)) AS discount, TRY_CAST(profit AS DECIMAL(15,6)) AS profit) FROM txt),
-judged AS (SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {t} THEN '{n}' END" for n, t in RULES.items())}, CASE WHEN COUNT(*) OVER (PARTITION BY row_id) > 1 THEN 'row_id_repeated' END) AS broken_rules FROM typ),
-clean AS (SELECT * EXCLUDE (broken_rules) FROM judged WHERE broken_rules = '')
+  TRY_CAST(sales AS DECIMAL(15,6)) AS sales, CAST(ROUND({num('quantity')}) AS BIGINT) AS quantity, TRY_CAST(discount AS DECIMAL(4,2)) AS discount, TRY_CAST(profit AS DECIMAL(15,6)) AS profit), {', '.join(f'{t} AS {c}_lost' for c, t in LOST.items())} FROM txt),
+ruled AS (SELECT *, concat_ws(',', {', '.join(f"CASE WHEN {t} THEN '{n}' END" for n, t in RULES.items())}, CASE WHEN COUNT(*) OVER (PARTITION BY row_id) > 1 THEN 'row_id_repeated' END, {', '.join(f"CASE WHEN {c}_lost THEN '{c}_unreadable' END" for c in LOST)}) AS broken_rules FROM typ),
+judged AS (SELECT * REPLACE (CASE WHEN broken_rules <> '' THEN broken_rules ELSE concat_ws(',', {', '.join(f"CASE WHEN {conflict(k, a)} THEN '{n}' END" for n, k, a in CONFLICTS)}) END AS broken_rules) FROM ruled),
+clean AS (SELECT * EXCLUDE (broken_rules, {', '.join(f'{c}_lost' for c in LOST)}) FROM judged WHERE broken_rules = '')
 """
 PLACE = "region, country, state, city, postal_code"
 MODEL = """
@@ -157,7 +170,7 @@ SQL["raw_distinct_counts"] = q("raw", "SELECT " + ", ".join(f"COUNT(DISTINCT {c}
 SQL["raw_date_formats"] = q("raw", f"SELECT CASE WHEN {full(ISO + ' 00:00:00')} THEN 'YYYY-MM-DD HH:MM:SS' WHEN {full('[0-9]{2}-[A-Za-z]{3}-[0-9]{4}')} THEN 'DD-MMM-YYYY' "
     f"WHEN {full('[0-9]{2}[.][0-9]{2}[.][0-9]{4}')} THEN 'DD.MM.YYYY' WHEN {full('[0-9]{8}')} THEN 'YYYYMMDD' ELSE 'OTRO' END AS format, COUNT(*) AS total FROM raw GROUP BY 1")
 SQL["segment_preview"] = q("tidy", f"SELECT DISTINCT segment AS segment_original, {SEGMENT} AS segment_clean FROM plain")
-SQL["date_preview"] = q("tidy", f"SELECT DISTINCT order_date AS original_date, {DAY} AS normal_date FROM plain ORDER BY 1 NULLS FIRST LIMIT 100")
+SQL["date_preview"] = q("tidy", f"SELECT DISTINCT order_date AS original_date, {DAY} AS normal_date FROM plain ORDER BY 1 NULLS FIRST")
 SQL["discount_preview"] = q("tidy", f"SELECT discount AS discount_original, {DISC} AS discount_corrected, COUNT(*) AS total FROM plain GROUP BY 1, 2")
 _NUM = "-?[0-9]+([.][0-9]+)?"
 SQL["numeric_formats"] = q("tidy", "SELECT " + ", ".join([n_if(f"{c} IS NULL") + f" AS {c}_null" for c in ("sales", "quantity", "discount", "profit")] + [
@@ -226,7 +239,12 @@ SQL["clean_sales"] = q("clean", f"SELECT {TYPED} FROM clean")
 SQL["quarantine"] = q("clean", "SELECT row_id, order_id, broken_rules FROM judged WHERE broken_rules <> ''")
 SQL["load_counts"] = q("clean", "SELECT *, staged_rows - clean_rows - quarantined_rows AS difference FROM (SELECT (SELECT COUNT(*) FROM txt) AS staged_rows, (SELECT COUNT(*) FROM clean) AS clean_rows, (SELECT COUNT(*) FROM judged WHERE broken_rules <> '') AS quarantined_rows)")
 _U = ("ship_mode", "sales", "quantity", "profit")
-SQL["load_nulls"] = q("clean", "SELECT " + ", ".join(f"a.{c}_null AS {c}_null_staged, b.{c}_null AS {c}_null_typed, b.{c}_null - a.{c}_null AS {c}_null_difference" for c in _U) + f" FROM ({nulls('txt', _U)}) a, ({nulls('judged', _U)}) b")
+SQL["load_nulls"] = q("clean", "SELECT " + ", ".join(f"a.{c}_null AS {c}_null_staged, b.{c}_null AS {c}_null_typed, b.{c}_null - a.{c}_null AS {c}_null_difference" for c in _U) + f" FROM ({nulls('txt', _U)}) a, ({nulls('(SELECT * REPLACE (' + ', '.join(f'CASE WHEN {c}_lost THEN 0 ELSE {c} END AS {c}' for c in LOST) + ') FROM judged)', _U)}) b")
+SQL["rejected_casts"] = q("text", " UNION ALL ".join(f"SELECT row_id, order_id, '{c}' AS measure, {c} AS found FROM txt WHERE {t}" for c, t in LOST.items()))
+_SPOILT = "CAST(row_id AS BIGINT) % 1009 = 3"
+SQL["corrupt_records"] = q("raw", f"SELECT COUNT(*) AS total_records, {n_if(_SPOILT)} AS corrupt_records, {n_if('NOT ' + _SPOILT)} AS readable_records, {d('SUM(' + num('sales') + f') FILTER (NOT {_SPOILT})')} AS readable_sales FROM raw")
+SQL["append_new_rows"] = q("raw", "SELECT COUNT(*) AS appended_rows, COUNT(DISTINCT row_id) AS appended_keys FROM (SELECT DISTINCT * FROM raw) WHERE CAST(row_id AS BIGINT) % 3 <> 0")
+SQL["model_conflicts"] = q("clean", " UNION ALL ".join(f"SELECT '{n}' AS rule, COUNT(*) AS total_rows FROM judged WHERE list_contains(string_split(broken_rules, ','), '{n}') HAVING COUNT(*) > 0" for n, _, _ in CONFLICTS))
 _K = {"sales": "DECIMAL(15,6)", "quantity": "DECIMAL(20,6)", "discount": "DECIMAL(4,2)", "profit": "DECIMAL(15,6)"}
 
 
@@ -246,8 +264,8 @@ for name, table in TABLES.items():
     cols = "* REPLACE (CAST(sales AS DOUBLE) AS sales, CAST(discount AS DOUBLE) AS discount, CAST(profit AS DOUBLE) AS profit)" if name == "order_details" else "*"
     SQL[f"model_{name}"] = q("model", f"SELECT {cols} FROM {table}")
 SQL["model_counts"] = q("model", "SELECT " + ", ".join(f"(SELECT COUNT(*) FROM {t}) AS total_{n}" for n, t in TABLES.items()))
-SQL["product_listing"] = q("model", "SELECT product_key, source_product_id, product_name, sub_category_name, category_name FROM products JOIN sub_categories USING (sub_category_id) JOIN categories USING (category_id) ORDER BY source_product_id, product_name, product_key LIMIT 20")
-SQL["order_listing"] = q("model", "SELECT order_key, source_order_id, order_date, ship_date, customer_name, city, state, ship_mode_name FROM ord JOIN customers USING (customer_id) JOIN locations USING (location_id) LEFT JOIN ship_modes USING (ship_mode_id) ORDER BY order_date, source_order_id, order_key LIMIT 20")
+SQL["product_listing"] = q("model", "SELECT product_key, source_product_id, product_name, sub_category_name, category_name FROM products JOIN sub_categories USING (sub_category_id) JOIN categories USING (category_id) ORDER BY source_product_id, product_name, product_key")
+SQL["order_listing"] = q("model", "SELECT order_key, source_order_id, order_date, ship_date, customer_name, city, state, ship_mode_name FROM ord JOIN customers USING (customer_id) JOIN locations USING (location_id) LEFT JOIN ship_modes USING (ship_mode_id) ORDER BY order_date, source_order_id, order_key")
 SQL["unmatched_rows"] = q("model", " UNION ALL ".join(f"SELECT '{n}' AS entity, COUNT(*) AS unmatched FROM clean c WHERE NOT EXISTS ({t})" for n, t in {
     "sub_categories": "SELECT 1 FROM sub_categories JOIN categories USING (category_id) WHERE category_name = c.category AND sub_category_name = c.sub_category",
     "locations": "SELECT 1 FROM placed p WHERE p.region = c.region AND p.country = c.country AND p.state = c.state AND p.city = c.city AND p.postal_code = c.postal_code",

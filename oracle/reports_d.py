@@ -10,16 +10,16 @@ from ventaria.plans.display import DISPLAYS
 SQL: dict[str, str] = {}
 SEG = f"sg AS ({orders_by('segment')})"
 for name, table, cte, order in (
-    ("display_order_summary", "vos", None, "ORDER BY order_date, order_key LIMIT 20"), ("display_monthly_performance", "mp", MONTH, ""),
-    ("display_subcategory_performance", "sp", SUBCAT, ""), ("display_customer_performance", "cu", CUST, f"ORDER BY total_sales {DESC}, customer_name, customer_id LIMIT 20"),
-    ("display_geographic_performance", "gp", CITY, f"ORDER BY total_sales {DESC}, country, state, city LIMIT 20"),
-    ("display_product_performance", "pp", PROD, f"ORDER BY total_sales {DESC}, product_name, product_key LIMIT 20"),
+    ("display_order_summary", "vos", None, "ORDER BY order_date, order_key"), ("display_monthly_performance", "mp", MONTH, ""),
+    ("display_subcategory_performance", "sp", SUBCAT, ""), ("display_customer_performance", "cu", CUST, f"ORDER BY total_sales {DESC}, customer_name, customer_id"),
+    ("display_geographic_performance", "gp", CITY, f"ORDER BY total_sales {DESC}, country, state, city"),
+    ("display_product_performance", "pp", PROD, f"ORDER BY total_sales {DESC}, product_name, product_key"),
     ("display_segment_performance", "sg", SEG, ""), ("display_ship_mode_performance", "sm", SHIP, ""),
     ("display_category_performance", "cp", CAT, ""), ("display_business_overview", "bo", OVERVIEW, ""),
 ):
     SQL[name] = q(f"SELECT {pick(DISPLAYS[name])} FROM (SELECT * FROM {table} {order})", *([cte] if cte else []))
 SQL["display_sales_detail"] = q("SELECT source_row_id, order_id, order_date, customer_name, city, product_name, category, CAST(ROUND(sales, 2) AS DOUBLE) AS sales, quantity, CAST(ROUND(discount, 2) AS DOUBLE) AS discount, "
-    "CAST(ROUND(profit, 2) AS DOUBLE) AS profit FROM (SELECT * FROM detail ORDER BY source_row_id, product_key, order_key LIMIT 20)")
+    "CAST(ROUND(profit, 2) AS DOUBLE) AS profit FROM (SELECT * FROM detail ORDER BY source_row_id, product_key, order_key)")
 M = ("total_order_lines", "total_sales", "total_quantity", "total_profit")
 PARENT = "par AS (SELECT COUNT(*) AS total_order_lines, SUM(sales) AS total_sales, SUM(quantity) AS total_quantity, SUM(profit) AS total_profit FROM lines)"
 VIEWS = {"order_summary": "vos", "monthly_performance": "mp", "subcategory_performance": "sp", "customer_performance": "cu", "geographic_performance": "gp",
@@ -37,7 +37,10 @@ SQL["view_conservation"] = q(" UNION ALL ".join(
 SQL["view_uniqueness"] = q(" UNION ALL ".join(
     f"SELECT '{v}' AS view_name, COUNT(*) AS total_rows, COUNT(DISTINCT {k}) AS unique_keys, COUNT(*) - COUNT(DISTINCT {k}) AS duplicates FROM {t}" for v, t, k in (
         ("order_summary", "vos", "order_key"), ("monthly_performance", "mp", "(order_year, order_month)"), ("customer_performance", "cu", "customer_id"),
-        ("geographic_performance", "gp", "(region, country, state, city)"), ("product_performance", "pp", "product_key"))), MONTH, CUST, CITY, PROD)
+        ("geographic_performance", "gp", "(region, country, state, city)"), ("product_performance", "pp", "product_key"),
+        ("sales_detail", "detail", "(source_row_id, order_key, product_key)"), ("subcategory_performance", "sp", "(category, sub_category)"),
+        ("segment_performance", "sg", "(segment, 1)"), ("ship_mode_performance", "sm", "(ship_mode, 1)"), ("category_performance", "cp", "(category, 1)"))),
+    MONTH, CUST, CITY, PROD, SUBCAT, SEG, SHIP, CAT)
 SQL["view_missing_members"] = q("SELECT 'customers' AS entity, COUNT(*) AS missing FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT customer_id FROM vos) "
     "UNION ALL SELECT 'products', COUNT(*) FROM products WHERE product_key NOT IN (SELECT product_key FROM lines) UNION ALL SELECT 'orders', COUNT(*) FROM headers WHERE order_key NOT IN (SELECT order_key FROM lines)")
 SQL["line_conservation"] = q("SELECT *, view_rows - model_rows AS difference FROM (SELECT (SELECT COUNT(*) FROM lines) AS model_rows, (SELECT COUNT(*) FROM detail) AS view_rows)")

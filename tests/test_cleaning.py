@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ventaria.functions.expressions import collated
 from ventaria.operators import cleaning as C, profiling as P
-from ventaria.sources.sales_text import COLUMNS, SCHEMA
+from ventaria.sources.sales_text import COLUMNS, SCHEMA, read_raw_csv
 
 BASE = dict(row_id="1", order_id="O1", order_date="2023-01-04", ship_date="2023-01-06", ship_mode="First Class", customer_id="A-1",
             customer_name="Ann", segment="Consumer", country="US", city="Encinitas", state="CA", postal_code="92024", region="West",
@@ -74,8 +74,22 @@ def test_recovered_sales_take_part_in_margins(spark):
     assert float(cleaned(spark, *rows)["3"]["profit"]) == 8
 
 
+def with_found_maps(spark, *changes):
+    tidy = C.tidy_rows(frame(spark, *changes))
+    return C.complete_text(tidy, C.alias_map(tidy), C.usual_value(tidy, "postal_code", "city"))
+
+
+def found(spark, *changes):
+    return {r["row_id"]: r.asDict() for r in with_found_maps(spark, *changes).collect()}
+
+
+def test_without_maps_people_and_towns_stay_apart(spark):
+    out = cleaned(spark, {"customer_id": "A-2", "city": "San Diego"}, {"customer_id": "A-1"}, {})
+    assert [out[str(i)]["customer_id"] for i in (1, 2)] == ["A-2", "A-1"] and out["1"]["city"] == "San Diego" != out["2"]["city"]
+
+
 def test_alias_ids_become_the_first_seen(spark):
-    out = cleaned(spark, {"customer_id": "A-2", "order_date": "2024-01-01"}, {"customer_id": "A-1", "order_date": "2023-01-01"},
+    out = found(spark, {"customer_id": "A-2", "order_date": "2024-01-01"}, {"customer_id": "A-1", "order_date": "2023-01-01"},
                   {"customer_id": "A-3", "order_date": "Jan 4"}, {"customer_name": "Bob", "customer_id": "B-1"})
     assert [out[str(i)]["customer_id"] for i in range(1, 5)] == ["A-1", "A-1", "A-1", "B-1"]
 
@@ -84,12 +98,12 @@ def test_one_id_that_is_an_alias_under_two_names(spark):
     """Each name has its own canonical id, and no row is doubled."""
     rows = [{"customer_name": n, "customer_id": i, "order_date": d} for n, i, d in (
         ("X", "B", "2023-01-01"), ("X", "A", "2023-02-01"), ("Y", "C", "2023-01-01"), ("Y", "A", "2023-02-01"))]
-    text = C.clean_text(frame(spark, *rows)).collect()
+    text = with_found_maps(spark, *rows).collect()
     assert sorted((r["row_id"], r["customer_id"]) for r in text) == [("1", "B"), ("2", "B"), ("3", "C"), ("4", "C")]
 
 
 def test_one_city_per_postal_code(spark):
-    out = cleaned(spark, {}, {}, {"city": "San Diego"}, {"postal_code": "1", "city": "X"})
+    out = found(spark, {}, {}, {"city": "San Diego"}, {"postal_code": "1", "city": "X"})
     assert [out[str(i)]["city"] for i in range(1, 5)] == ["Encinitas"] * 3 + ["X"]
 
 
@@ -113,6 +127,34 @@ def test_typed_load_and_quarantine(spark):
     assert C.typed(text).where("row_id = 1 AND quantity = 3").count() == 1  # rounds, does not cut
 
 
+def test_unreadable_measures_and_broken_records_are_rejected(spark, tmp_path):
+    text = frame(spark, {"sales": "12,50"}, {"quantity": "two"}, {"profit": "abc", "sales": "1e99"}, {})
+    loaded = C.load(text)
+    assert [r["row_id"] for r in loaded.valid.collect()] == [4]
+    assert {r["row_id"]: r["broken_rules"] for r in loaded.quarantine.collect()} == {
+        1: ["sales_unreadable"], 2: ["quantity_unreadable"], 3: ["sales_unreadable", "profit_unreadable"]}
+    assert sorted((r["row_id"], r["measure"], r["found"]) for r in C.rejected_casts(text).collect()) == [
+        ("1", "sales", "12,50"), ("2", "quantity", "two"), ("3", "profit", "abc"), ("3", "sales", "1e99")]
+    good = [str(v) for v in frame(spark, {}).first()]
+    lines = [",".join(good), ",".join(["2", *good[1:], "surplus"]), ",".join(["3", *good[1:-1]]), ",".join(["4", *good[1:]])]
+    (tmp_path / "x.csv").write_text("\n".join([",".join(frame(spark, {}).columns), *lines]))
+    read = C.load(read_raw_csv(spark, str(tmp_path / "x.csv")))
+    assert [r["row_id"] for r in read.valid.collect()] == [1, 4] or {r["row_id"] for r in read.valid.collect()} == {1, 4}
+    assert all("corrupt_record" in r["broken_rules"] for r in read.quarantine.collect()) and read.quarantine.count() == 2
+    assert read.valid.columns == frame(spark, {}).columns
+
+
+def test_rows_that_would_double_a_model_key_are_kept_out(spark):
+    text = frame(spark, {}, {"sub_category": "Other"}, {"order_id": "O-2", "customer_id": "Q", "product_id": "P-2"},
+                 {"order_id": "O-3", "customer_id": "Q", "customer_name": "Zoe", "product_id": "P-3"},
+                 {"order_id": "O-4", "product_id": "P-4", "ship_mode": "Same Day"}, {"order_id": "O-4", "product_id": "P-5", "ship_mode": None},
+                 {"order_id": "O-5", "product_id": "P-6"})
+    loaded = C.load(text)
+    assert [r["row_id"] for r in loaded.valid.collect()] == [7]
+    assert {r["row_id"]: r["broken_rules"] for r in loaded.quarantine.collect()} == {
+        1: ["product_conflict"], 2: ["product_conflict"], 3: ["customer_conflict"], 4: ["customer_conflict"], 5: ["order_conflict"], 6: ["order_conflict"]}
+
+
 def test_profile_counts(spark):
     df = frame(spark, {"sales": None, "city": " "}, {"sales": "x"}, {})
     assert P.null_counts(df, ["sales"]).first()["sales_null"] == 1

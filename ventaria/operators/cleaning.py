@@ -6,10 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ventaria.functions.expressions import all_of
+from ventaria.functions.expressions import all_of, any_of
 from ventaria.operators.profiling import ISO_DATE
 from ventaria.session import settle
-from ventaria.sources.sales_text import COLUMNS
+from ventaria.sources.sales_text import COLUMNS, CORRUPT
 
 # Spellings, domains, date formats, corrections and tolerances.
 SEGMENT_SPELLINGS = {
@@ -197,33 +197,49 @@ def complete_text(base: DataFrame, aliases: DataFrame | None = None, cities: Dat
     only the margins need a second, narrow pass, because recovered sales take
     part in them.
 
-    ``aliases`` (_name, _alias, _canonical) and ``cities`` (_key, _usual) may be given;
-    otherwise they are found from the data.
+    ``aliases`` (_name, _alias, _canonical) and ``cities`` (_key, _usual) are decisions
+    of the caller: without them every id and every city stays as it is, since two
+    people may share a name and two towns a code. ``alias_map`` and ``usual_value``
+    propose such maps.
     """
     modes = single_value(base, "order_id", "ship_mode")
     prices = settle(unit_prices(base))
     measures = base.select("product_id", "discount", "sales", "quantity", "profit")
     recovered = only_where(measures, "sales IS NULL OR quantity IS NULL", lambda rows: fill_measures(rows, prices))
     margins = unit_margins(recovered)
-    aliases = alias_map(base) if aliases is None else aliases
-    cities = usual_value(base, "postal_code", "city") if cities is None else cities
 
     def complete(rows: DataFrame) -> DataFrame:
         return fill_measures(fill_from_group(rows, "order_id", "ship_mode", modes), prices, margins)
 
     df = only_where(base, "ship_mode IS NULL OR sales IS NULL OR quantity IS NULL OR profit IS NULL", complete)
-    df = replace_by_map(df, "customer_id", aliases, "_canonical", {"customer_name": "_name", "customer_id": "_alias"})
-    return replace_by_map(df, "city", cities, "_usual", {"postal_code": "_key"})
+    if aliases is not None:
+        df = replace_by_map(df, "customer_id", aliases, "_canonical", {"customer_name": "_name", "customer_id": "_alias"})
+    return df if cities is None else replace_by_map(df, "city", cities, "_usual", {"postal_code": "_key"})
+
+
+CASTS = {
+    "row_id": "try_cast(row_id AS BIGINT)", "order_date": "try_to_date(order_date, 'yyyy-MM-dd')",
+    "ship_date": "try_to_date(ship_date, 'yyyy-MM-dd')", "sales": "try_cast(sales AS DECIMAL(15,6))",
+    "quantity": "CAST(round(try_cast(quantity AS DECIMAL(20,6))) AS BIGINT)",
+    "discount": "try_cast(discount AS DECIMAL(4,2))", "profit": "try_cast(profit AS DECIMAL(15,6))"}
+MAY_BE_UNKNOWN = ("sales", "quantity", "profit")
+UNREADABLE = "_unreadable"
+
+
+def rejected_casts(text: DataFrame) -> DataFrame:
+    """Each known measure text that is no number of the column's type; an unknown measure must stay told from an unreadable one."""
+    found = F.array_compact(F.array(*[F.when(F.expr(f"{c} IS NOT NULL AND {CASTS[c]} IS NULL"), F.struct(F.lit(c).alias("measure"), F.col(c).alias("found")))
+                                      for c in MAY_BE_UNKNOWN]))
+    return text.select("row_id", "order_id", F.explode(found).alias("_r")).select("row_id", "order_id", "_r.measure", "_r.found")
 
 
 def typed(text: DataFrame) -> DataFrame:
-    """Explicit casts of the clean text; what cannot be cast becomes NULL."""
-    casts = {
-        "row_id": "try_cast(row_id AS BIGINT)", "order_date": "try_to_date(order_date, 'yyyy-MM-dd')",
-        "ship_date": "try_to_date(ship_date, 'yyyy-MM-dd')", "sales": "try_cast(sales AS DECIMAL(15,6))",
-        "quantity": "CAST(round(try_cast(quantity AS DECIMAL(20,6))) AS BIGINT)",
-        "discount": "try_cast(discount AS DECIMAL(4,2))", "profit": "try_cast(profit AS DECIMAL(15,6))"}
-    return text.selectExpr(*[f"{casts[c]} AS {c}" if c in casts else c for c in text.columns])
+    """Explicit casts of the clean text; what cannot be cast becomes NULL, and measures among it are listed in ``_unreadable``."""
+    lost = [f"if({c} IS NOT NULL AND {CASTS[c]} IS NULL, '{c}_unreadable', NULL)" for c in MAY_BE_UNKNOWN]
+    if CORRUPT in text.columns:
+        lost.append(f"if({CORRUPT} IS NOT NULL, 'corrupt_record', NULL)")
+    return text.selectExpr(*[f"{CASTS[c]} AS {c}" if c in CASTS else c for c in text.columns if c != CORRUPT],
+                           f"array_compact(array({', '.join(lost)})) AS {UNREADABLE}")
 
 
 REQUIRED = [c for c in COLUMNS if c not in ("ship_mode", "sales", "quantity", "profit")]
@@ -251,13 +267,38 @@ class Loaded:
     quarantine: DataFrame
 
 
+# Keys of the model, and what must be one value for each.
+MODEL_KEYS = {
+    "customer_conflict": (["customer_id"], ["customer_name", "segment"]),
+    "product_conflict": (["product_id", "product_name"], ["category", "sub_category"]),
+    "order_conflict": (["order_id", "customer_id", "region", "country", "state", "city", "postal_code"], ["order_date", "ship_date", "ship_mode"]),
+}
+
+
+def conflicting_keys(rows: DataFrame, keys: list[str], attributes: list[str]) -> DataFrame:
+    """Keys under which an attribute has several values, or both a value and none."""
+    tests = [t for a in attributes for t in (F.min(a) != F.max(a), F.count(a).between(1, F.count(F.lit(1)) - 1))]
+    return rows.groupBy(*keys).agg(F.coalesce(any_of(tests), F.lit(False)).alias("_bad")).where("_bad").drop("_bad")
+
+
+def mark_conflicts(judged: DataFrame, name: str) -> DataFrame:
+    """Rows that break no rule by themselves but would give one model key two rows."""
+    good, rest = judged.where(F.size(name) == 0), judged.where(F.size(name) > 0)
+    out = good
+    for rule, (keys, attributes) in MODEL_KEYS.items():
+        bad = conflicting_keys(good, keys, attributes).select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.lit(rule).alias("_rule"))
+        out = out.join(bad, all_of([F.col(k) == F.col(f"_c_{k}") for k in keys]), "left").withColumn(
+            name, F.array_compact(F.array_append(name, F.col("_rule")))).select(*judged.columns)
+    return out.unionByName(rest)
+
+
 def split_by_rules(df: DataFrame, unique: str = "row_id", name: str = "broken_rules") -> DataFrame:
-    """Add the list of broken rules, including a repeated key."""
+    """Add the list of broken rules, including a repeated key, an unreadable measure and a conflict with other rows."""
     repeated = df.where(F.col(unique).isNotNull()).groupBy(unique).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     marked = df.join(repeated.select(F.col(unique).alias("_repeated")), F.col(unique) == F.col("_repeated"), "left")
     rules = {**load_rules(), f"{unique}_repeated": F.col("_repeated").isNotNull()}
-    broken = F.array_compact(F.array(*[F.when(test, rule) for rule, test in rules.items()]))
-    return marked.select(*df.columns, broken.alias(name))
+    broken = F.concat(F.array_compact(F.array(*[F.when(test, rule) for rule, test in rules.items()])), F.col(UNREADABLE))
+    return mark_conflicts(settle(marked.select(*[c for c in df.columns if c != UNREADABLE], broken.alias(name))), name)
 
 
 def load(text: DataFrame) -> Loaded:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,8 +13,9 @@ from ventaria.operators.normalise import PLACE, Snowflake, normalise
 from ventaria.operators.reconcile import (
     OK, REVIEW, compare_totals, control, count_against, doubles, stack_controls, state, uniqueness, unmatched, unpivot_counts)
 from ventaria.operators.scalars import attach
-from ventaria.session import settle
-from ventaria.sources.sales_text import COLUMNS, raw_sales
+from ventaria.session import checkpoint_folder, settle
+from ventaria.sources.sales_text import COLUMNS, CORRUPT, raw_sales, read_raw_csv
+from ventaria.sources.staging import only_new
 
 ALL = list(COLUMNS)
 
@@ -50,7 +52,8 @@ class Sheets:
 
     @cached_property
     def text(self) -> DataFrame:
-        return settle(C.complete_text(self.tidy))
+        """The derived extract's own decisions: ids of one name are one customer, a code has its usual city."""
+        return settle(C.complete_text(self.tidy, C.alias_map(self.tidy), C.usual_value(self.tidy, "postal_code", "city")))
 
     @cached_property
     def judged(self) -> DataFrame:
@@ -115,7 +118,7 @@ def segment_preview(s: Sheets) -> DataFrame:
 
 def date_preview(s: Sheets) -> DataFrame:
     values = C.blank_to_null(s.raw).select("order_date").distinct()
-    return values.select(F.col("order_date").alias("original_date"), C.normal_date("order_date").alias("normal_date")).orderBy("original_date").limit(100)
+    return values.select(F.col("order_date").alias("original_date"), C.normal_date("order_date").alias("normal_date")).orderBy("original_date")
 
 
 def discount_preview(s: Sheets) -> DataFrame:
@@ -357,8 +360,39 @@ def load_counts(s: Sheets) -> DataFrame:
 _UNKNOWN = ["ship_mode", "sales", "quantity", "profit"]
 
 
+def rejected_casts(s: Sheets) -> DataFrame:
+    return C.rejected_casts(s.text)
+
+
+def corrupt_records(s: Sheets) -> DataFrame:
+    """The raw extract written as CSV lines, some with a surplus field, and read back."""
+    spark = s.raw.sparkSession
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+    surplus = F.when(F.expr("CAST(row_id AS BIGINT) % 1009 = 3"), ",surplus").otherwise("")
+    s.raw.select(F.concat(F.to_csv(F.struct(*ALL), keep), surplus)).write.text(path)
+    broken = F.col(CORRUPT).isNotNull()
+    return doubles(read_raw_csv(spark, path, header=False).agg(
+        n_rows("total_records"), F.count_if(broken).alias("corrupt_records"), F.count_if(~broken).alias("readable_records"),
+        F.sum(F.when(~broken, _n("sales"))).alias("readable_sales")))
+
+
+def append_new_rows(s: Sheets) -> DataFrame:
+    """What an insert of the missing rows adds to a table that has every third row already."""
+    have = s.raw.where("CAST(row_id AS BIGINT) % 3 = 0")
+    return only_new(s.raw, have, ["row_id"]).agg(n_rows("appended_rows"), F.count_distinct("row_id").alias("appended_keys"))
+
+
+def model_conflicts(s: Sheets) -> DataFrame:
+    """Rows kept out of the model because their key has several values."""
+    rules = F.explode(F.filter("broken_rules", lambda r: r.isin(*C.MODEL_KEYS)))
+    return s.judged.select("row_id", rules.alias("rule")).groupBy("rule").agg(n_rows("total_rows"))
+
+
 def load_nulls(s: Sheets) -> DataFrame:
-    staged, clean = P.null_counts(s.text, _UNKNOWN), P.null_counts(s.judged, _UNKNOWN)
+    """Unknown values before and after the casts; an unreadable value is rejected, not unknown."""
+    known = s.judged.select("ship_mode", *[F.when(F.array_contains("broken_rules", f"{c}_unreadable"), 0).otherwise(F.col(c)).alias(c) for c in C.MAY_BE_UNKNOWN])
+    staged, clean = P.null_counts(s.text, _UNKNOWN), P.null_counts(known, _UNKNOWN)
     return compare_totals(staged, clean, {f"{c}_null": (f"{c}_null_staged", f"{c}_null_typed", f"{c}_null_difference") for c in _UNKNOWN})
 
 
@@ -408,16 +442,21 @@ def _named(s: Sheets):
     return kinds, places, people, goods, orders
 
 
-def product_listing(s: Sheets) -> DataFrame:
+def first(rows: DataFrame, n: int | None) -> DataFrame:
+    """The whole listing, or its first ``n`` rows where a caller asks for them."""
+    return rows if n is None else rows.limit(n)
+
+
+def product_listing(s: Sheets, n: int | None = None) -> DataFrame:
     m = s.model
     rows = m.products.join(m.sub_categories, "sub_category_id").join(m.categories, "category_id")
-    return rows.orderBy("source_product_id", "product_name", "product_key").limit(20).select(
+    return first(rows.orderBy("source_product_id", "product_name", "product_key"), n).select(
         "product_key", "source_product_id", "product_name", "sub_category_name", "category_name")
 
 
-def order_listing(s: Sheets) -> DataFrame:
+def order_listing(s: Sheets, n: int | None = None) -> DataFrame:
     m = s.model
-    rows = m.orders.orderBy("order_date", "source_order_id", "order_key").limit(20)
+    rows = m.orders if n is None else first(m.orders.orderBy("order_date", "source_order_id", "order_key"), n)
     return (rows.join(m.customers, "customer_id").join(m.locations, "location_id").join(m.ship_modes, "ship_mode_id", "left")
             .select("order_key", "source_order_id", "order_date", "ship_date", "customer_name", "city", "state", "ship_mode_name"))
 
@@ -559,6 +598,6 @@ REPORTS = {
         dependency_violations, product_name_conflicts, customer_id_conflicts, customer_id_conflicts_after, reused_product_detail,
         reused_product_summary, order_consistency, order_consistency_list, inconsistent_orders, inconsistent_order_lines, alias_history,
         key_check, postal_conflicts, postal_drilldown, postal_customers, domain_check, quality_scorecard, cleaned_text, clean_sales,
-        quarantine, load_counts, load_nulls, load_sums, clean_rules, clean_uniqueness, clean_ranges, model_counts, product_listing,
+        quarantine, load_counts, rejected_casts, corrupt_records, append_new_rows, model_conflicts, load_nulls, load_sums, clean_rules, clean_uniqueness, clean_ranges, model_counts, product_listing,
         order_listing, unmatched_rows, model_control, model_references, model_unique_keys, model_business_rules, model_unknowns, model_measures)},
 }

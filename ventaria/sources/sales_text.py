@@ -14,16 +14,16 @@ COLUMNS = (
 SCHEMA = ", ".join(f"{c} STRING" for c in COLUMNS)
 CORRUPT = "_corrupt_record"
 _CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "encoding": "UTF-8", "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT}
+        "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}  # a surplus field is only seen if all fields are parsed
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV with header; every column stays text, broken records keep their text.
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False, header: bool = True) -> DataFrame:
+    """CSV; every column stays text, broken records keep their text and are rejected by the load.
 
     ``multi_line`` is only for files with line breaks inside quotes: such files
     cannot be split, so one file is then read by one task.
     """
-    return (spark.read.options(**_CSV).option("multiLine", str(multi_line).lower())
+    return (spark.read.options(**_CSV).option("multiLine", str(multi_line).lower()).option("header", str(header).lower())
             .schema(f"{SCHEMA}, {CORRUPT} STRING").csv(path))
 
 
@@ -38,8 +38,9 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
 
     Copies of rows, padding, blanks, five date formats, two unusable dates,
     spelling variants, missing and mixed shipping modes, missing measures, a
-    mis-scaled discount, alias customer ids, reused product codes and one
-    postal code with two cities all occur.
+    mis-scaled discount, alias customer ids, reused product codes, one postal
+    code with two cities, unreadable measures, a customer with two names and a
+    product in two sub-categories all occur.
     """
     modes = " ".join(f"WHEN '{key}' THEN '{mode}'" for key, mode in SHIP_MODE_OF_PRIORITY.items())
     places = read_table(spark, folder, "nation").join(read_table(spark, folder, "region"), _on("n_regionkey", "r_regionkey"))
@@ -62,7 +63,7 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
         """CASE WHEN m IS NULL THEN '' WHEN (o + n) % 5 = 0 THEN NULL WHEN o % 31 = 7 AND n % 2 = 0 THEN 'Same Day'
            WHEN o % 13 = 3 THEN concat('  ', m, ' ') ELSE m END AS ship_mode""",
         "concat(if(o % 41 = 6, 'CX-', 'CU-'), c) AS customer_id",
-        "c_name AS customer_name",
+        "concat(c_name, if(c % 173 = 7 AND o % 5 = 1, ' Jr', '')) AS customer_name",
         """CASE WHEN o % 211 = 9 THEN 'Retail'
            WHEN c % 3 = 0 THEN CASE o % 7 WHEN 1 THEN 'Counsumer' WHEN 2 THEN 'CONSUMR' WHEN 3 THEN 'consumer' ELSE 'Consumer' END
            WHEN c % 3 = 1 THEN CASE o % 7 WHEN 1 THEN 'corp.' WHEN 2 THEN 'Corperate' ELSE 'Corporate' END
@@ -75,12 +76,12 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
         "concat('P-', if(p % 50 = 1, p - 1, p)) AS product_id",
         """concat(if(n = 3, ' ', ''), CASE p % 3 WHEN 0 THEN 'Furniture' WHEN 1 THEN 'Office Supplies' ELSE 'Technology' END,
            if(n = 3, '  ', '')) AS category""",
-        "p_brand AS sub_category",
+        "if(p % 211 = 5 AND n = 2, 'Brand#99', p_brand) AS sub_category",
         "concat(p_name, ' #', p) AS product_name",
-        "CASE WHEN (o + p) % 23 = 0 THEN NULL WHEN (o + p) % 46 = 1 THEN '   ' ELSE string(net) END AS sales",
-        "if((p + s) % 29 = 0, NULL, concat(q, if(o % 3 = 0, '.0', ''))) AS quantity",
+        "CASE WHEN (o * 13 + n) % 509 = 7 THEN replace(string(net), '.', ',') WHEN (o + p) % 23 = 0 THEN NULL WHEN (o + p) % 46 = 1 THEN '   ' ELSE string(net) END AS sales",
+        "if((o * 17 + n) % 509 = 9, 'two', if((p + s) % 29 = 0, NULL, concat(q, if(o % 3 = 0, '.0', '')))) AS quantity",
         "if(disc = 0.54 AND o % 4 = 0, '5.5', string(disc)) AS discount",
-        "if((o + s) % 19 = 0, NULL, string(CAST(net * CAST((p % 7 - 2) * 0.1 AS DECIMAL(3,1)) AS DECIMAL(15,5)))) AS profit",
+        "if((o * 19 + n) % 509 = 11, 'abc', if((o + s) % 19 = 0, NULL, string(CAST(net * CAST((p % 7 - 2) * 0.1 AS DECIMAL(3,1)) AS DECIMAL(15,5))))) AS profit",
         "explode(if((o * 7 + n) % 20 = 0, array(1, 2), array(1))) AS _copy",
     )
     return facts.select(*COLUMNS)

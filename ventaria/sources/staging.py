@@ -19,10 +19,10 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def only_new(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Candidates whose key is not yet present (NULL keys compare as equal)."""
+    """Distinct candidates whose key is not yet present (NULL keys compare as equal)."""
     known = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys])
-    return candidates.join(known, same, "left_anti")
+    return candidates.distinct().join(known, same, "left_anti")
 
 
 def append_new(candidates: DataFrame, path: str, keys: list[str]) -> None:
