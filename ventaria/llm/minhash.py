@@ -11,10 +11,13 @@ quarter of pairs that agree by chance.
 
 Links are confirmed on full sets, in two rounds. First each bucket member is
 paired with one leader of its bucket (a star, linear in the bucket). The
-confirmed links give components; then the buckets whose members lie in several
-components give every pair across them whose estimate is within 5 standard
-errors of the threshold. Hence a link between different sets is only left out
-where both ends are already in one component, and no bucket is capped.
+confirmed links give components; then, in buckets whose members lie in several
+components, every member with a possible link across them (estimate within 5
+standard errors of the threshold) is written as the difference of its set from
+one pivot's set, which is small among near copies, and the members of a pivot
+are compared exactly from these differences, block by block. Only links that
+join components are emitted, so a group of near copies gives no more links than
+members, and no bucket is capped.
 
 Defined results: null, empty and blank texts have no shingles and are alone;
 texts of fewer words than a shingle have one shingle, the whole sequence;
@@ -46,6 +49,7 @@ class Settings:
     bands: int = 25
     star_margin: float = 0.03
     pair_margin: float = 0.2  # 5 standard errors of the estimate at the threshold
+    block: int = 4096  # members compared at once
 
 
 _rng = np.random.default_rng(20_240_917)
@@ -129,6 +133,15 @@ def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBa
         yield pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
 
 
+def each_group(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """One batch for each key of sorted rows."""
+    for batch in grouped(batches, key):
+        keys = batch.column(key).to_numpy()
+        edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist() + [len(keys)]
+        for start, end in zip(edges, edges[1:]):
+            yield batch.slice(start, end - start)
+
+
 def runs(keys: np.ndarray) -> list[tuple[int, int]]:
     """(start, end) of runs of two or more equal keys."""
     edges = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
@@ -176,8 +189,8 @@ def star_members(buckets: DataFrame, settings: Settings) -> DataFrame:
     return dealt.mapInArrow(run, "band long, id long, n long, signature binary, leader long")
 
 
-def open_pairs(members: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of one bucket that lie in different components and may reach the threshold."""
+def open_members(members: DataFrame, settings: Settings) -> DataFrame:
+    """Members of a bucket with a possible link into another component, next to one pivot of the bucket."""
     least = settings.percent / 100 - settings.pair_margin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,15 +200,92 @@ def open_pairs(members: DataFrame, settings: Settings) -> DataFrame:
             for start, end in runs(batch.column("band").to_numpy()):
                 if (part[start:end] == part[start]).all():
                     continue
+                open_ = np.zeros(end - start, bool)
                 for k in range(start + 1, end):
                     other = np.flatnonzero((part[start:k] != part[k])
-                                           & (100 * np.minimum(n[start:k], n[k]) >= settings.percent * np.maximum(n[start:k], n[k]))) + start
-                    near = other[estimate(signs[k], signs[other]) >= least]
-                    if len(near):
-                        yield T.named_batch(a=np.full(len(near), ids[k]), b=ids[near])
+                                           & (100 * np.minimum(n[start:k], n[k]) >= settings.percent * np.maximum(n[start:k], n[k])))
+                    near = other[estimate(signs[k], signs[start + other]) >= least]
+                    open_[near] = True
+                    open_[k - start] |= len(near) > 0
+                took = np.flatnonzero(open_) + start
+                if len(took):
+                    yield T.named_batch(pivot=np.full(len(took), ids[took[0]]), id=ids[took], component=part[took])
 
     dealt = members.repartition("band").sortWithinPartitions("band", "id")
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "pivot long, id long, component long").distinct()
+
+
+def against_pivot(rows: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
+    """Each member's set as its difference from the pivot's set: shingles it has more, and shingles it lacks."""
+    texts = T.id_and_text(docs)
+    one = rows.join(texts, rows["id"] == texts["doc_id"]).select("pivot", "id", "component", F.col("text").alias("own"))
+    both = one.join(texts, one["pivot"] == texts["doc_id"]).select("pivot", "id", "component", "own", "text")
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = batch.column("pivot").to_numpy()
+        new = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        right = shingle_sets(batch.take(pa.array(new)).select(["text"]), settings.words)
+        left = shingle_sets(pa.RecordBatch.from_arrays([batch.column("own")], names=["text"]), settings.words)
+        at = np.searchsorted(new, np.arange(len(ids)), "right") - 1
+        more = [np.setdiff1d(x, right[k], assume_unique=True).view(np.int64) for x, k in zip(left, at)]
+        less = [np.setdiff1d(right[k], x, assume_unique=True).view(np.int64) for x, k in zip(left, at)]
+        return T.named_batch(pivot=batch.column("pivot"), id=batch.column("id"), component=batch.column("component"),
+                             n=np.array([len(x) for x in left], np.int64), whole=np.array([len(right[k]) for k in at], np.int64),
+                             more=pa.array(more, pa.list_(pa.int64())), less=pa.array(less, pa.list_(pa.int64())))
+
+    return T.scan(both, step, "pivot long, id long, component long, n long, whole long, more array<long>, less array<long>")
+
+
+def links_in_block(rows: pa.RecordBatch, percent: int) -> list[tuple[int, int]]:
+    """Links that join different components of one block, exact from the differences; at most one for each join."""
+    ids, n, side = (rows.column(k).to_numpy() for k in ("id", "n", "side"))
+    lists = []
+    for name, flip in (("more", 0), ("less", 1)):
+        column = rows.column(name)
+        values = column.flatten().to_numpy()
+        lists.append((np.repeat(np.arange(len(ids)), np.diff(column.offsets.to_numpy())), T.mix(values.view(np.uint64) + np.uint64(flip))))
+    owner, value = (np.concatenate(x) for x in zip(*lists))
+    names, element = np.unique(value, return_inverse=True)
+    order = np.lexsort((owner, element))
+    post, first = owner[order], np.searchsorted(element[order], np.arange(len(names) + 1))
+    mine = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[mine], np.arange(len(ids) + 1))
+    lacks = np.diff(rows.column("less").offsets.to_numpy())
+    root = np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
+    found = []
+    whole = int(rows.column("whole")[0].as_py())
+    crossed = len(np.unique(side)) > 1
+    for k in range(len(ids)):
+        if crossed and side[k] != side.min():
+            continue
+        held = element[mine[cuts[k]:cuts[k + 1]]]
+        both = np.bincount(np.concatenate([post[first[e]:first[e + 1]] for e in held.tolist()] or [post[:0]]), minlength=len(ids))
+        common = whole - lacks[k] - lacks + both  # shingles of the pivot that neither lacks, and shared additions
+        near = np.flatnonzero((100 * common >= percent * (n + n[k] - common)) & (root != root[k]))
+        for other in near.tolist():
+            if root[other] != root[k]:
+                found.append((int(ids[k]), int(ids[other])))
+                root[root == root[other]] = root[k]
+    return found
+
+
+def links_of_open(differences: DataFrame, settings: Settings) -> DataFrame:
+    """Links among the members of each pivot; groups beyond ``block`` members are compared block by block."""
+    sizes = differences.groupBy("pivot").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = differences.join(sizes, "pivot").withColumn("side", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn(
+        "part", F.xxhash64("pivot", F.least("side", "other"), F.greatest("side", "other"))).drop("other", "blocks")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in grouped(batches, "part"):
+            key = batch.column("part").to_numpy()
+            for start, end in runs(key):
+                made = links_in_block(batch.slice(start, end - start), settings.percent)
+                if made:
+                    yield T.named_batch(a=np.array([a for a, _ in made]), b=np.array([b for _, b in made]))
+
+    return dealt.repartition("part").sortWithinPartitions("part", "id").mapInArrow(run, "a long, b long").distinct()
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame:
@@ -230,9 +320,9 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     parts = settle(components(links))
     placed = members.drop("leader").join(parts, members["id"] == parts["node"], "left").select(
         "band", "id", "n", "signature", F.coalesce("component", "id").alias("component"))
-    more = settle(open_pairs(placed, settings).distinct().join(stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        extra = settle(confirmed(more, docs, settings))
+    still = settle(open_members(placed, settings))
+    if not still.isEmpty():
+        extra = settle(links_of_open(settle(against_pivot(still, docs, settings)), settings))
         if not extra.isEmpty():
             parts = settle(components(links.union(extra)))
     owners = classes.join(parts, classes["id"] == parts["node"], "left").select("low", "high", "n", F.coalesce("component", "id").alias("component_id"))
