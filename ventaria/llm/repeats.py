@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from ventaria.llm import text as T
 from ventaria.llm.minhash import grouped
 
+FOLD_BYTES = 1_000_000  # texts among which equal runs are folded before the shuffle
+
+
 @dataclass(frozen=True)
 class Grain:
     """What a symbol is, and how long windows and anchors are."""
@@ -148,7 +151,7 @@ def anchored(docs: DataFrame, grain: Grain) -> DataFrame:
         key = np.concatenate([sent.gram, T.mix(doc[len(travel):].astype(np.uint64) ^ start.astype(np.uint64))])
         return T.named_batch(key=key.view(np.int64), doc_id=doc, place=place)
 
-    return T.scan(T.id_and_text(docs).where("doc_id is not null"), step, "key long, doc_id long, place long")
+    return T.scan(T.id_and_text(docs).where("doc_id is not null"), step, "key long, doc_id long, place long", limit=FOLD_BYTES)
 
 
 def merged(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -18,13 +18,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
+BATCH_BYTES = 8 << 20
 BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 GOLDEN = 0x9E3779B97F4A7C15
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers on this machine import the package; a cluster ships it with ``--py-files``."""
+    """Let Python workers on this machine import the package (a cluster ships it with ``--py-files``), in small Arrow batches."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size).rstrip("b") in ("-1", str(64 << 20)):  # unless the user chose one
+        spark.conf.set(size, str(BATCH_BYTES))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
@@ -51,12 +55,12 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
             yield batch.slice(start, end - start)
 
 
-def scan(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def scan(df: DataFrame, step: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES) -> DataFrame:
     """Apply ``step`` to slices of the rows; ``df`` has a column ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, limit):
                 made = step(piece)
                 if made is not None and made.num_rows:
                     yield made
