@@ -89,6 +89,19 @@ def test_stream_equals_batch(spark, tmp_path):
     history = seed.withColumn("new", F.lit(False)).unionByName(first.unionByName(second.exceptAll(late)).withColumn("new", F.lit(True)))
     want = sorted(tuple(r) for r in L.log_versions(history, keep="new").select("record_key", "version", "action_type", "old_data", "new_data").collect())
     assert got == want and len(got) == 4
+    assert sorted(tuple(r)[:4] for r in S.read_late(spark, out).select("record_key", "version", "image", "reason").collect()) == sorted(
+        (r["record_key"], r["version"], r["image"], "late") for r in late.collect())
+
+
+def test_no_image_is_lost(spark, tmp_path):
+    state, out = (str(tmp_path / n) for n in ("state", "log"))
+    S.seed_state(images(spark, [("a", 3, "x")]), state)
+    S.apply_batch(images(spark, [("a", 2, "old"), ("a", 3, "x"), ("a", 3, "y"), ("b", 1, "q"), ("b", 1, "p"), ("b", 1, "p"), ("c", 1, None), ("c", 1, "z")]), 0, state, out)
+    late = sorted((r["record_key"], r["version"], r["image"], r["reason"]) for r in S.read_late(spark, out).collect())
+    kept = {(r["record_key"], r["version"]): r["image"] for r in S.last_images(spark, state, 1).collect()}
+    plain = {x["image"] for x in images(spark, [("b", 1, "p"), ("c", 1, None)]).collect()}
+    assert [(k, v, why) for k, v, _, why in late] == [("a", 2, "late"), ("a", 3, "late"), ("b", 1, "contradiction"), ("c", 1, "contradiction")]
+    assert {kept[("b", 1)], kept[("c", 1)]} == plain
 
 
 def test_retried_batch_leaves_one_copy(spark, tmp_path):

@@ -24,24 +24,40 @@ def seed_state(images: DataFrame, state: str) -> None:
     images.select("record_key", F.col("version").cast("long").alias("version"), "image").write.mode("overwrite").parquet(f"{state}/{BATCH}={SEED}")
 
 
-def last_images(spark: SparkSession, state: str, before: int) -> DataFrame:
-    """The newest image of every record known before a batch."""
+def last_images(spark: SparkSession, state: str, before: int, keys: DataFrame | None = None) -> DataFrame:
+    """The newest image of every record (or of ``keys`` only) known before a batch."""
     known = spark.read.schema(f"{IMAGES}, {BATCH} long").parquet(state).where(F.col(BATCH) < before)
+    known = known if keys is None else known.join(keys, "record_key", "left_semi")  # before anything is grouped
     newest = known.groupBy("record_key").agg(F.max("version").alias("version"))
     return known.join(newest, ["record_key", "version"]).select("record_key", "version", "image").dropDuplicates(["record_key", "version"])
 
 
+def beside(log: str) -> str:
+    """Where images that cannot enter the log are kept."""
+    return f"{log.rstrip('/')}_late"
+
+
 def apply_batch(batch: DataFrame, batch_id: int, state: str, log: str) -> None:
-    """Write the events and the new last images of one micro-batch.
+    """Write the events, the new last images and the refused images of one micro-batch.
 
-    A version that is not newer than the stored one arrives late and is dropped.
+    Nothing is dropped: an image that is not newer than the stored one goes to the
+    side table as ``late``; of different images with one key and version the
+    smallest enters the log and the others go there as ``contradiction``. Only a
+    row that says again what is known already is left out.
     """
-    rows = settle(batch.select("record_key", "version", "image").dropDuplicates(["record_key", "version"]))
+    rows = batch.select("record_key", "version", "image").distinct()
     touched = rows.select("record_key").distinct()
-    stored = settle(last_images(batch.sparkSession, state, batch_id).join(touched, "record_key", "left_semi"))
-    floor = stored.select(F.col("record_key").alias("_k"), F.col("version").alias("_v"))
-    fresh = (rows.join(floor, F.col("record_key") == F.col("_k"), "left")
-             .where("_v IS NULL OR version > _v").select("record_key", "version", "image"))
+    stored = settle(last_images(batch.sparkSession, state, batch_id, touched))
+    floor = stored.select(F.col("record_key").alias("_k"), F.col("version").alias("_v"), F.col("image").alias("_i"))
+    chosen = rows.groupBy(F.col("record_key").alias("_ck"), F.col("version").alias("_cv")).agg(F.min(F.struct("image")).alias("_c"))
+    marked = rows.join(chosen, F.col("record_key").eqNullSafe(F.col("_ck")) & F.col("version").eqNullSafe(F.col("_cv"))).join(
+        floor, F.col("record_key") == F.col("_k"), "left")
+    known = F.col("version").eqNullSafe(F.col("_v")) & F.col("image").eqNullSafe(F.col("_i")) & F.col("_v").isNotNull()
+    reason = (F.when(known, "known").when(F.col("version") <= F.col("_v"), "late")
+              .when(~F.col("image").eqNullSafe(F.col("_c.image")), "contradiction"))
+    judged = settle(marked.select("record_key", "version", "image", reason.alias("reason")))
+    judged.where("reason IN ('late', 'contradiction')").write.mode("overwrite").parquet(f"{beside(log)}/{BATCH}={batch_id}")
+    fresh = judged.where("reason IS NULL").drop("reason")
     both = fresh.withColumn("new", F.lit(True)).unionByName(stored.withColumn("new", F.lit(False)))
     log_versions(both, keep="new").write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
     newest = fresh.groupBy("record_key").agg(F.max("version").alias("version"))
@@ -55,6 +71,11 @@ def start_change_log(spark: SparkSession, source: str, state: str, log: str, che
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def read_late(spark: SparkSession, log: str) -> DataFrame:
+    """Images that arrived late or contradict one of the same version."""
+    return spark.read.schema(f"{IMAGES}, reason string, {BATCH} long").parquet(beside(log))
+
+
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     return spark.read.parquet(log)
 
