@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ventaria.llm import repeats as R
 from ventaria.llm import text as T
-from ventaria.llm.minhash import grouped
+from ventaria.llm.minhash import each_group
 from ventaria.session import settle
 
 WINDOW, GRAM = 100, 24
@@ -267,7 +267,7 @@ def merge_runs(pieces: DataFrame) -> DataFrame:
     """(doc_id, start, end) of repeated bytes; each range is merged by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, "part"):
+        for batch in each_group(batches, "part"):
             counts, blobs = batch.column("n").to_pylist(), batch.column("blob")
             if batch.column("part")[0].as_py() < 0:
                 lists = [np.frombuffer(b.as_py(), "<i8").reshape(3, n) for b, n in zip(blobs, counts)]
