@@ -55,6 +55,8 @@ def number_rows(
     keys = parse_order(order)
     sort = [sort_key(*k) for k in keys]
     parts = list(partition)
+    if position and not (parts or dense_rank or running or previous):
+        return positions(df, sort, position)
 
     ranged = df.repartitionByRange(*[F.col(p) for p in parts], *sort)
     ranged = ranged.withColumn(SLICE, F.spark_partition_id())
@@ -116,6 +118,24 @@ def number_rows(
     return joined.select(*[F.col(c) for c in df.columns], *added)
 
 
+def positions(df: DataFrame, sort: list[Column], name: str) -> DataFrame:
+    """Row numbers alone: one range exchange and a sort inside each slice, no window and no second exchange.
+
+    A row's slice and place in it are the upper and lower bits of its running id,
+    which is written before anything is counted.
+    """
+    bits = 33
+    at = F.monotonically_increasing_id()
+    placed = df.repartitionByRange(*sort).sortWithinPartitions(*sort).select("*", at.alias("_at"))
+    placed = settle(placed.select(*[F.col(c) for c in df.columns], F.shiftright("_at", bits).cast("int").alias(SLICE),
+                                  (F.col("_at").bitwiseAND((1 << bits) - 1) + 1).alias("_n")))
+    slices = placed.groupBy(F.col(SLICE).alias("_slice0")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("_slice0").rowsBetween(_START, -1)
+    offsets = slices.select("_slice0", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_n0"))
+    joined = placed.join(F.broadcast(offsets), F.col(SLICE) == F.col("_slice0"))  # one row for each range slice
+    return joined.select(*[F.col(c) for c in df.columns], (F.col("_n") + F.col("_n0")).alias(name))
+
+
 def tile_of(row_number: Column, rows: Column, k: int) -> Column:
     """NTILE(k) from a row number: the first ``rows % k`` tiles get one row more."""
     size = F.floor(rows / k).cast("long")
