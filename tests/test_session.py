@@ -24,3 +24,12 @@ def test_settled_rows_keep_types_and_values(spark):
     df = spark.range(5).select("id", F.expr("CAST(id / 3 AS DECIMAL(25,6))").alias("d"), F.expr("nullif(id, 2)").alias("n"))
     kept = session.settle(df)
     assert kept.schema.simpleString() == df.schema.simpleString() and sorted(kept.collect()) == sorted(df.collect())
+
+
+def test_stages_are_made_anew_after_a_drop(spark, small):
+    from ventaria.plans import quality
+
+    before = quality.raw_row_count(quality.Sheets.open(spark, small)).collect()
+    assert quality.Sheets.open(spark, small) is quality.Sheets.open(spark, small)
+    session.drop_settled(spark)
+    assert quality.raw_row_count(quality.Sheets.open(spark, small)).collect() == before

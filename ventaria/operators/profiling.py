@@ -37,11 +37,17 @@ def duplicate_groups(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: dict[str, str], approximate: float | None = None) -> DataFrame:
     """``{column: name}``. With ``approximate`` (relative error) each column costs
-    a fixed-size sketch; the exact form first removes repeated combinations."""
+    a fixed-size sketch; the exact form counts each column's own distinct values,
+    one narrow column at a time, so no row is multiplied."""
     if approximate is not None:
         return df.agg(*[F.approx_count_distinct(c, approximate).alias(n) for c, n in columns.items()])
-    slim = df.select(*columns).distinct()
-    return slim.agg(*[F.count_distinct(c).alias(n) for c, n in columns.items()])
+    from ventaria.operators.scalars import attach
+
+    out = None
+    for column, name in columns.items():
+        one = df.select(column).distinct().agg(F.count(column).alias(name))
+        out = one if out is None else attach(out, one)
+    return out
 
 
 def domain(df: DataFrame, column: str) -> DataFrame:

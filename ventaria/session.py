@@ -60,7 +60,19 @@ def settle(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_dropped = 0
+
+
+def stage_key(spark: SparkSession, folder: str) -> tuple:
+    """What stages kept for a folder depend on: the application, what was dropped since, and the folder's files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return (spark.sparkContext.applicationId, _dropped, folder, tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)))
+
+
 def drop_settled(spark: SparkSession) -> None:
-    """Delete everything this application settled, once its results are no longer read."""
+    """Delete everything this application settled, once its results are no longer read; kept stages are made anew."""
+    global _dropped
+    _dropped += 1
     path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint_folder(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
