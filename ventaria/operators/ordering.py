@@ -136,6 +136,12 @@ def positions(df: DataFrame, sort: list[Column], name: str) -> DataFrame:
     return joined.select(*[F.col(c) for c in df.columns], (F.col("_n") + F.col("_n0")).alias(name))
 
 
+def first_rows(df: DataFrame, order: str, n: int, name: str) -> DataFrame:
+    """The first ``n`` rows and their positions; each task keeps at most ``n``, and only these meet in one task."""
+    sort = [sort_key(*k) for k in parse_order(order)]
+    return df.orderBy(*sort).limit(n).select("*", F.row_number().over(Window.orderBy(*sort)).cast("long").alias(name))
+
+
 def tile_of(row_number: Column, rows: Column, k: int) -> Column:
     """NTILE(k) from a row number: the first ``rows % k`` tiles get one row more."""
     size = F.floor(rows / k).cast("long")

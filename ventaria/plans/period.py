@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ventaria.functions.expressions import mode_or_unknown, pct
 from ventaria.functions.measures import line_rollup, order_rollup
 from ventaria.functions.present import present
-from ventaria.operators.ordering import dense_ranks, number_rows, small_ranks, small_share
+from ventaria.operators.ordering import dense_ranks, first_rows, small_ranks, small_share
 from ventaria.operators.scalars import attach, scalar_fields
 from ventaria.plans.book import Book, narrow
 from ventaria.plans.category import _products_per
@@ -104,10 +104,10 @@ def period_top_products(book: Book, start: Day = None, end: Day = None, n: int |
     df = settle(narrow(df, "product_key", "total_orders", "distinct_customers", "total_order_lines", "total_sales", "total_quantity",
                 "total_profit", "average_line_discount", "comparable_profit_margin_percentage", "loss_making_lines",
                 "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines"))
-    df = dense_ranks(df, "product_key", {"profit_rank": "total_profit desc",
-                                         "margin_rank": "comparable_profit_margin_percentage desc"})
-    df = number_rows(df, "total_sales desc, total_profit desc, product_key", position="sales_position")
-    df = df.where(F.col("sales_position") <= n).join(book.star.products, "product_key")
+    ranks = dense_ranks(df.select("product_key", "total_profit", "comparable_profit_margin_percentage"), "product_key", {
+        "profit_rank": "total_profit desc", "margin_rank": "comparable_profit_margin_percentage desc"})
+    df = first_rows(df, "total_sales desc, total_profit desc, product_key", n, "sales_position")
+    df = df.join(ranks.select("product_key", "profit_rank", "margin_rank"), "product_key").join(book.star.products, "product_key")
     df = df.select("*", (F.col("profit_rank") - F.col("sales_position")).alias("sales_profit_rank_gap"))
     return present(period.stamp(df).orderBy("sales_position"), LAYOUT["period_top_products"])
 
@@ -123,12 +123,10 @@ def period_top_customers(book: Book, start: Day = None, end: Day = None, n: int
                        "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines"))
     df = attach(df, df.agg(F.sum("total_sales").alias("_all")))
     df = df.select("*", pct("total_sales", "_all").alias("sales_share_percentage"))
-    df = dense_ranks(df, "customer_id", {
-        "profit_rank": "total_profit desc", "order_frequency_rank": "total_orders desc",
-        "average_order_value_rank": "average_complete_order_value desc",
-        "margin_rank": "comparable_profit_margin_percentage desc"})
-    df = number_rows(df, "total_sales desc, total_profit desc, customer_id", position="sales_position")
-    df = df.where(F.col("sales_position") <= n)
+    wanted = {"profit_rank": "total_profit desc", "order_frequency_rank": "total_orders desc",
+              "average_order_value_rank": "average_complete_order_value desc", "margin_rank": "comparable_profit_margin_percentage desc"}
+    ranks = dense_ranks(df.select("customer_id", *[order.split()[0] for order in wanted.values()]), "customer_id", wanted)
+    df = first_rows(df, "total_sales desc, total_profit desc, customer_id", n, "sales_position").join(ranks.select("customer_id", *wanted), "customer_id")
     df = df.select("*", (F.col("profit_rank") - F.col("sales_position")).alias("sales_profit_rank_gap"))
     return present(period.stamp(df).orderBy("sales_position"), LAYOUT["period_top_customers"])
 
