@@ -3,9 +3,10 @@
 import pytest
 from parity import compare, connect
 
-from __spark_entry__ import oracle_sql, queries
+from oracle.statements import all_statements
+from ventaria.plans.registry import all_queries
 
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = all_queries(), all_statements()
 
 
 @pytest.fixture(scope="module")
