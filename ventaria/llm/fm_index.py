@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ventaria.llm import repeats as R
 from ventaria.llm import text as T
-from ventaria.llm.minhash import grouped
+from ventaria.llm.minhash import each_group
 from ventaria.session import settle
 
 WINDOW, GRAM = 50, 16
@@ -253,7 +253,7 @@ def windows_in_shard(c: Contexts) -> np.ndarray:
 
 def searched(pieces: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in grouped(batches, "shard"):
+        for batch in each_group(batches, "shard"):
             counts, blobs = batch.column("n").to_pylist(), [b.as_py() for b in batch.column("blob")]
             if batch.column("shard")[0].as_py() < 0:
                 doc, low, mask = np.concatenate([np.frombuffer(b, "<i8").reshape(3, n) for b, n in zip(blobs, counts)], axis=1)
