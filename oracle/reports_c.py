@@ -243,7 +243,8 @@ SQL["load_nulls"] = q("clean", "SELECT " + ", ".join(f"a.{c}_null AS {c}_null_st
 SQL["rejected_casts"] = q("text", " UNION ALL ".join(f"SELECT row_id, order_id, '{c}' AS measure, {c} AS found FROM txt WHERE {t}" for c, t in LOST.items()))
 _SPOILT = "CAST(row_id AS BIGINT) % 1009 = 3"
 SQL["corrupt_records"] = q("raw", f"SELECT COUNT(*) AS total_records, {n_if(_SPOILT)} AS corrupt_records, {n_if('NOT ' + _SPOILT)} AS readable_records, {d('SUM(' + num('sales') + f') FILTER (NOT {_SPOILT})')} AS readable_sales FROM raw")
-SQL["append_new_rows"] = q("raw", "SELECT COUNT(*) AS appended_rows, COUNT(DISTINCT row_id) AS appended_keys FROM (SELECT DISTINCT * FROM raw) WHERE CAST(row_id AS BIGINT) % 3 <> 0")
+_NEW = "CAST(row_id AS BIGINT) % 3 <> 0"
+SQL["append_new_rows"] = q("raw", f"SELECT {n_if(_NEW)} AS appended_rows, COUNT(DISTINCT CASE WHEN {_NEW} THEN row_id END) AS appended_keys FROM (SELECT DISTINCT * FROM raw)")
 SQL["model_conflicts"] = q("clean", " UNION ALL ".join(f"SELECT '{n}' AS rule, COUNT(*) AS total_rows FROM judged WHERE list_contains(string_split(broken_rules, ','), '{n}') HAVING COUNT(*) > 0" for n, _, _ in CONFLICTS))
 _K = {"sales": "DECIMAL(15,6)", "quantity": "DECIMAL(20,6)", "discount": "DECIMAL(4,2)", "profit": "DECIMAL(15,6)"}
 
