@@ -35,7 +35,7 @@ from ventaria.session import settle
 WINDOW, GRAM = 50, 16
 MOST = 2 * WINDOW - GRAM  # words of the longest context
 WORDS = R.Grain(WINDOW, GRAM, R.word_symbols, other_document=True)
-RUN_CONTEXTS, SHARD_CONTEXTS = 60_000, 40_000
+RUN_CONTEXTS, SHARD_CONTEXTS = 40_000, 25_000
 
 
 class WaveletMatrix:
@@ -101,11 +101,7 @@ class FMIndex:
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(self.alphabet) + 1))])  # symbols smaller than each
         self.matrix = WaveletMatrix(sequence, len(self.alphabet) + 1)
         self.start = self.matrix.down(np.arange(len(self.alphabet) + 1), np.zeros(len(self.alphabet) + 1, np.int64))
-        owner = np.repeat(owner, sizes + 1)[order]
-        self.least = [owner]  # of 1, 2, 4, ... neighbours in suffix order
-        while 2 << (len(self.least) - 1) <= len(owner):
-            half = 1 << (len(self.least) - 1)
-            self.least.append(np.minimum(self.least[-1][:-half], self.least[-1][half:]))
+        self.owner = np.append(np.repeat(owner, sizes + 1)[order], 0)  # in suffix order, and one place beyond
 
     def extend(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals after one more symbol to the left."""
@@ -113,19 +109,16 @@ class FMIndex:
         return shift + self.matrix.down(symbols, low), shift + self.matrix.down(symbols, high)
 
     def smallest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Smallest owner in each non-empty interval."""
-        level = np.frexp((high - low).astype(np.float64))[1] - 1
-        out = np.empty(len(low), np.int64)
-        for k in np.unique(level).tolist():
-            at = np.flatnonzero(level == k)
-            out[at] = np.minimum(self.least[k][low[at]], self.least[k][high[at] - (1 << k)])
-        return out
+        """Smallest owner in each interval; intervals of one pattern length are equal or disjoint, so each place is read once."""
+        names, back = np.unique(low * len(self.owner) + high, return_inverse=True)
+        edges = np.stack([names // len(self.owner), names % len(self.owner)], axis=1).ravel()
+        return np.minimum.reduceat(self.owner, edges)[::2][back] if len(edges) else low
 
     def windows_elsewhere(self, context: np.ndarray, first: np.ndarray, owner: np.ndarray) -> np.ndarray:
         """Which windows (context number, first word) occur in a context of smaller owner."""
         found = np.zeros(len(context), bool)
         live = np.arange(len(context))
-        low, high = np.zeros(len(context), np.int64), np.full(len(context), len(self.least[0]), np.int64)
+        low, high = np.zeros(len(context), np.int64), np.full(len(context), len(self.owner) - 1, np.int64)
         for k in reversed(range(WINDOW)):
             low, high = self.extend(self.symbols[context[live], first[live] + k], low, high)
             many = high - low > 1  # a window's own context is always one
