@@ -21,8 +21,8 @@ members, and no bucket is capped.
 
 Defined results: null, empty and blank texts have no shingles and are alone;
 texts of fewer words than a shingle have one shingle, the whole sequence;
-repeated rows are copies; null ids are returned with a null component; other
-columns are ignored.
+repeated rows are copies; a row without an id gets the component of its set and
+no verdict, and is no member itself; other columns are ignored.
 """
 
 from __future__ import annotations
