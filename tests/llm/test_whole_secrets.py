@@ -1,0 +1,34 @@
+"""Secret spans cover whole values, of any length and mix of characters."""
+
+import random
+import string
+import time
+
+from cases import frame, prose
+
+from ventaria.llm import secrets, text
+
+
+def value_of(n, alphabet=string.ascii_letters + string.digits + "#!%", seed=5):
+    r = random.Random(seed)
+    return "".join(r.choice(alphabet) for _ in range(n))
+
+
+def guesses(made, **more):
+    return [made[s:e] for s, kind, e in secrets.spans_of(made, **more)[1] if kind == 3]
+
+
+def test_a_long_value_is_one_span_and_leaves_no_rest(spark):
+    value = value_of(1000)
+    for word in ("auth:", "pwd=", "credentials=", "private_key="):
+        assert guesses(f"see {word} {value} there") == [value]
+    text.importable(spark)
+    got = secrets.redact(frame(spark, [(1, f"see auth: {value} there")])).first().text
+    assert got == "see auth: [secret] there"
+
+
+def test_cost_of_a_long_value_is_linear():
+    for value in ("ab" * 20_000, "a" * 40_000, "12" * 20_000, value_of(40_000)):
+        began = time.process_time()
+        assert "".join(value[a:b] for a, b, _ in secrets.guess_cost(value)[1]) == value
+        assert time.process_time() - began < 20

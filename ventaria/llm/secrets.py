@@ -8,7 +8,8 @@ cut with the fewest guesses tells how hard the value is to find. Values of at
 least ``min_log10`` guesses that no ``assign`` span covers are reported, so
 ``password=sunshine1999`` is cheap and ``pwd: vK9#tq2L`` is a secret.
 
-One scan, no shuffle; spans are code points, end exclusive. Defined results:
+A value has no greatest length; its cost takes time linear in it. One scan, no
+shuffle; spans are code points, end exclusive. Defined results:
 null or empty text has no spans (digest of the empty text); repeated rows give
 repeated results; other columns are ignored.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run is taken whole, so the length can be asked for at once
-CONTEXT = re.compile(r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api_?key|auth|credentials?|private_?key)["']?\x20*[:=]\x20*["']?([^\x00-\x20"'`<>,;]{6,256})""", re.I | re.A)
+CONTEXT = re.compile(r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api_?key|auth|credentials?|private_?key)["']?\x20*[:=]\x20*["']?([^\x00-\x20"'`<>,;]{6,})""", re.I | re.A)
 HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "auth", "credential", "private")
 
 # Common password words, most frequent first.
@@ -49,28 +51,43 @@ def alphabet(piece: str) -> int:
             + 33 * bool(re.search("[^A-Za-z0-9]", piece))) or 1
 
 
-def pieces(value: str) -> list[tuple[int, int, float, str]]:
-    """(start, end, log10 guesses, kind) of every word, date, repeat and walk inside ``value``."""
-    low, n, found = value.lower(), len(value), []
+def repeats_from(value: str, unit: int) -> list[int]:
+    """For each place, how many characters from there on equal the one ``unit`` later."""
+    same = [0] * (len(value) + 1)
+    for i in range(len(value) - unit - 1, -1, -1):
+        if value[i] == value[i + unit]:
+            same[i] = same[i + 1] + 1
+    return same
+
+
+def pieces_from(value: str) -> Iterator[list[tuple[int, float, str]]]:
+    """For each place, (end, log10 guesses, kind) of every word, date, repeat and walk that starts there; linear in the value."""
+    low, n = value.lower(), len(value)
+    walk = [1] * n
+    for i in range(n - 2, -1, -1):
+        if (low[i], low[i + 1]) in _next:
+            walk[i] += walk[i + 1]
+    same = {unit: repeats_from(value, unit) for unit in range(1, min(8, n // 2) + 1)}
     for i in range(n):
+        found = []
         for j in range(i + 3, min(n, i + 12) + 1):
             if rank := _ranks.get(low[i:j]):
                 cased = value[i:j] != low[i:j]
-                found.append((i, j, math.log10(rank) + cased * math.log10(2 if value[i:j].istitle() or value[i:j].isupper() else 2 ** (j - i)), "word"))
+                found.append((j, math.log10(rank) + cased * math.log10(2 if value[i:j].istitle() or value[i:j].isupper() else 2 ** (j - i)), "word"))
         if m := _date.match(value, i):
-            found.append((i, m.end(), math.log10(200 * (12 if m.end() - i > 4 else 1) * (31 if m.end() - i > 7 else 1)), "date"))
-        run = i + 1
-        while run < n and (low[run - 1], low[run]) in _next:
-            run += 1
-        if run - i >= 3:
-            found.append((i, run, math.log10(80 * (run - i)), "walk"))
-        for unit in range(1, min(8, (n - i) // 2) + 1):
-            end = i + unit
-            while value[end:end + unit] == value[i:i + unit]:
-                end += unit
-            if end > i + unit and end - i >= 3:
-                found.append((i, end, unit * math.log10(alphabet(value[i:i + unit])) + math.log10((end - i) // unit), "repeat"))
-    return found
+            found.append((m.end(), math.log10(200 * (12 if m.end() - i > 4 else 1) * (31 if m.end() - i > 7 else 1)), "date"))
+        if walk[i] >= 3:
+            found.append((i + walk[i], math.log10(80 * walk[i]), "walk"))
+        for unit, after in same.items():
+            times = 1 + after[i] // unit
+            if times > 1 and times * unit >= 3:
+                found.append((i + times * unit, unit * math.log10(alphabet(value[i:i + unit])) + math.log10(times), "repeat"))
+        yield found
+
+
+def pieces(value: str) -> list[tuple[int, int, float, str]]:
+    """(start, end, log10 guesses, kind) of every word, date, repeat and walk inside ``value``."""
+    return [(i, *piece) for i, found in enumerate(pieces_from(value)) for piece in found]
 
 
 def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
@@ -80,14 +97,12 @@ def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     sum of the pieces' costs; neighbouring brute-force characters form one span.
     """
     n, each = len(value), math.log10(alphabet(value))
-    ends: dict[int, list] = {}
-    for piece in pieces(value):
-        ends.setdefault(piece[1], []).append(piece)
-    best: list[tuple[float, int, str]] = [(0.0, 0, "")]
-    for j in range(1, n + 1):
-        options = [(best[j - 1][0] + each, j - 1, "brute")]
-        options += [(best[i][0] + cost + 0.3, i, kind) for i, _, cost, kind in ends.get(j, ())]
-        best.append(min(options))
+    best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
+    for i, found in enumerate(pieces_from(value)):
+        so_far = best[i][0]
+        best[i + 1] = min(best[i + 1], (so_far + each, i, "brute"))
+        for j, cost, kind in found:
+            best[j] = min(best[j], (so_far + cost + 0.3, i, kind))
     cut, j = [], n
     while j:
         _, i, kind = best[j]
