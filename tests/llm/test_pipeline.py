@@ -50,3 +50,24 @@ def test_stages_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_from_four_fifths_on_are_dropped(spark, tmp_path):
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+
+    one = prose(5000, 120, 5_000)
+    two = one.split()
+    two[40], two[80] = "different", "another"
+    two = " ".join(two)
+    three = two.split()
+    three[20], three[60] = "further", "apart"
+    pairs = [(1, one), (2, two), (3, prose(5001, 120, 5_000)), (4, prose(5002, 120, 5_000))]
+    both = len(shingles(one) & shingles(two)) / len(shingles(one) | shingles(two))
+    assert 0.81 < both < 0.85
+    docs = frame(spark, pairs).select("doc_id", "text", "lang", "source", "n_chars")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    assert {r.doc_id for r in stage(spark, docs, str(tmp_path)).select("doc_id").collect()} == {1, 3, 4}
+    far = frame(spark, [(1, one), (2, " ".join(three))]).select("doc_id", "text", "lang", "source", "n_chars")
+    assert stage(spark, far, str(tmp_path)).count() == 2
