@@ -1,11 +1,14 @@
 """License scans by patience alignment.
 
 A template is looked for where its rarer words occur: each hit implies where the
-template would begin, and hits that imply nearly the same place form one
-candidate window. The window is aligned with the template: equal ends are taken
+template would begin, and every start that as many hits agree on as an occurrence
+must hold is a candidate with a window of its own, so neighbouring notices stay
+apart. The window is aligned with the template: equal ends are taken
 off, the words unique to both sides become anchors, the longest increasing
 subsequence of their places keeps the order, and the gaps between anchors are
-aligned the same way. The share of template words aligned is the coverage.
+aligned the same way. Anchors that stand too far from the others are dropped. The
+share of template words aligned is the coverage; a text word belongs to one
+occurrence of a template at most, the best aligned first.
 
 One scan without a shuffle; work follows the number of hits. Words are runs of
 letters and digits, lower-cased. Defined results: null and empty texts have no
@@ -15,6 +18,7 @@ ignored; templates without words are left out.
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections import Counter
 
@@ -95,6 +99,16 @@ def align(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     return sorted(pairs)
 
 
+def closest(pairs: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
+    """The most pairs in a row that stand within ``width`` words of text; outlying ones are dropped."""
+    best, low = (0, 0, 0), 0
+    for high in range(len(pairs)):
+        while pairs[high][0] - pairs[low][0] >= width:
+            low += 1
+        best = max(best, (high + 1 - low, -(pairs[high][0] - pairs[low][0]), low))
+    return pairs[best[2]:best[2] + best[0]]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float):
         self.least = least
@@ -102,8 +116,10 @@ class Scanner:
         self.words = [w.tolist() for w in hashes_of([templates[n] for n in self.names])]
         plain = set(np.concatenate(hashes_of(sorted(PLAIN))).tolist())
         self.seeds: dict[int, list[tuple[int, int]]] = {}
+        self.needed: list[int] = []  # seed words that an occurrence holds at least
         for k, words in enumerate(self.words):
             rare = [w for w in words if w not in plain] or words
+            self.needed.append(max(1, math.ceil(least * len(words)) - sum(w not in rare for w in words)))
             for place, w in enumerate(words):
                 if w in rare:
                     self.seeds.setdefault(w, []).append((k, place))
@@ -117,26 +133,50 @@ class Scanner:
                 begins.setdefault(k, []).append(at - place)
         found = []
         for k, starts in begins.items():
-            words = self.words[k]
-            slack = max(2, len(words) // 6)
-            starts.sort()
-            cuts = [0, *[i for i in range(1, len(starts)) if starts[i] - starts[i - 1] > slack], len(starts)]
-            best: list[tuple[int, float, int, int, int]] = []
-            for low, high in zip(cuts, cuts[1:]):
-                if high - low < (2 if len(words) > 3 else 1):
-                    continue
-                left = max(0, starts[low] - slack)
-                window = hashes[left:max(left, starts[high - 1] + len(words) + slack)].tolist()
-                pairs = align(window, words)
-                if len(pairs) >= self.least * len(words) and pairs[-1][0] - pairs[0][0] < len(words) + slack:
-                    made = (k, len(pairs) / len(words), len(pairs), left + pairs[0][0], left + pairs[-1][0])
-                    if best and made[3] <= best[-1][4]:  # the same words reached from two windows
-                        best[-1] = max(best[-1], made, key=lambda x: (x[2], -x[3]))
-                    else:
-                        best.append(made)
-            found += best
+            found += [(k, len(pairs) / len(self.words[k]), len(pairs), pairs[0][0], pairs[-1][0])
+                      for pairs in self.occurrences(hashes, k, np.sort(np.array(starts)))]
         return sorted(found, key=lambda x: (x[3], x[0]))
 
+    def occurrences(self, hashes: np.ndarray, k: int, starts: np.ndarray) -> list[list[tuple[int, int]]]:
+        """Aligned pairs of every occurrence of template ``k``, no text word in two of them.
+
+        Every start that enough hits agree on, within the farthest an occurrence may be shifted, is a peak of its own;
+        of peaks closer than ``step`` the one with the most votes is taken.
+        """
+        words = self.words[k]
+        slack = max(2, len(words) // 6)
+        step = max(1, slack // 2)
+        far = slack + int((1 - self.least) * len(words)) + 1 + step
+        value, votes = np.unique(starts, return_counts=True)
+        near = np.searchsorted(starts, value + far, "right") - np.searchsorted(starts, value - far, "left")
+        peaks: dict[int, tuple[int, int]] = {}
+        for start, n in zip(value[near >= self.needed[k]].tolist(), votes[near >= self.needed[k]].tolist()):
+            peaks[start // step] = max(peaks.get(start // step, (0, 0)), (n, -start))
+        made, tally = [], Counter(words)
+        for _, start in peaks.values():
+            best: list[tuple[int, int]] = []
+            wide = Counter(hashes[max(0, -start - far):max(0, -start + len(words) + far)].tolist())
+            if sum(min(n, wide[w]) for w, n in tally.items()) < self.least * len(words):
+                continue
+            for margin in (0, slack, far):
+                left = max(0, -start - margin)
+                window = hashes[left:max(left, -start + len(words) + margin)].tolist()
+                pairs = closest([(left + at, place) for at, place in align(window, words)], len(words) + slack)
+                best = max(best, pairs, key=len)
+                if len(best) == len(words):
+                    break
+            if len(best) >= self.least * len(words):
+                made.append(best)
+        made.sort(key=lambda pairs: (-len(pairs), pairs[-1][0] - pairs[0][0], pairs[0][0]))
+        used: set[int] = set()
+        kept = []
+        for pairs in made:
+            pairs = [pair for pair in pairs if pair[0] not in used]
+            if len(pairs) >= self.least * len(words):
+                used.update(at for at, _ in pairs)
+                kept.append(pairs)
+        return kept
+
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
     scanner = docs.sparkSession.sparkContext.broadcast(Scanner(templates, least))  # templates are a fixed parameter
