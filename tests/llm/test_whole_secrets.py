@@ -32,3 +32,24 @@ def test_cost_of_a_long_value_is_linear():
         began = time.process_time()
         assert "".join(value[a:b] for a, b, _ in secrets.guess_cost(value)[1]) == value
         assert time.process_time() - began < 20
+
+
+def test_the_cost_decides_for_letters_with_digits_and_for_quotes():
+    for value in ("q7w9e2k4m8x1z5v3", "Q7W9E2K4M8X1Z5V3", "vK#tqLmXw!"):
+        assert guesses(f"pwd: {value} end") == [value]
+    assert guesses("password=k3x9q2w8m1 end") == ["k3x9q2w8m1"]
+    assert guesses("auth='zkqwvbnhxjrt' end") == ["zkqwvbnhxjrt"]
+    for cheap in ("pwd: sunshine1999", "password=qwertyuiop12", "auth: somebodyelse", "pin: 482913570019", "token='abcdefghijkl'"):
+        assert guesses(cheap + " end") == []
+
+
+def test_words_of_the_texts_are_cheap_and_values_are_not_counted(spark):
+    text.importable(spark)
+    pairs = [(k, f"the caretaker wrote about undefined orchards; pwd: 'zkqwvbnhxjrt' {prose(k, 5)}") for k in range(20)]
+    pairs += [(50, "auth: 'undefined-orchards' there"), (51, "auth='undefined_orchards1' there"), (52, None)]
+    docs = frame(spark, pairs)
+    ranks = secrets.prose_ranks(docs)
+    assert "undefined" in ranks and "orchards" in ranks and "zkqwvbnhxjrt" not in ranks and "there" not in ranks
+    assert len(secrets.prose_ranks(docs, most=2)) <= len(secrets.COMMON) + 2
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(docs).collect()}
+    assert all("guess" in got[k] for k in range(20)) and got[50] == got[51] == ""

@@ -8,8 +8,9 @@ cut with the fewest guesses tells how hard the value is to find. Values of at
 least ``min_log10`` guesses that no ``assign`` span covers are reported, so
 ``password=sunshine1999`` is cheap and ``pwd: vK9#tq2L`` is a secret.
 
-A value has no greatest length; its cost takes time linear in it. One scan, no
-shuffle; spans are code points, end exclusive. Defined results:
+Words are ranked by ``COMMON`` and by a bounded count over the texts themselves, so
+prose in quotes is cheap. A value has no greatest length; its cost takes time linear
+in it. Two scans, of which the first shuffles word counts; spans are code points, end exclusive. Defined results:
 null or empty text has no spans (digest of the empty text); repeated rows give
 repeated results; other columns are ignored.
 """
@@ -19,19 +20,24 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ventaria.llm import text as T
+from ventaria.session import settle
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run is taken whole, so the length can be asked for at once
 CONTEXT = re.compile(r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api_?key|auth|credentials?|private_?key)["']?\x20*[:=]\x20*["']?([^\x00-\x20"'`<>,;]{6,})""", re.I | re.A)
+PROSE = re.compile(r"(?<![^\W_])[^\W\d_]{3,20}(?![^\W_])")
+LONGEST = 20  # letters of a ranked word
 HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "auth", "credential", "private")
 
 # Common password words, most frequent first.
@@ -60,7 +66,7 @@ def repeats_from(value: str, unit: int) -> list[int]:
     return same
 
 
-def pieces_from(value: str) -> Iterator[list[tuple[int, float, str]]]:
+def pieces_from(value: str, ranks: dict[str, int] = _ranks) -> Iterator[list[tuple[int, float, str]]]:
     """For each place, (end, log10 guesses, kind) of every word, date, repeat and walk that starts there; linear in the value."""
     low, n = value.lower(), len(value)
     walk = [1] * n
@@ -70,8 +76,10 @@ def pieces_from(value: str) -> Iterator[list[tuple[int, float, str]]]:
     same = {unit: repeats_from(value, unit) for unit in range(1, min(8, n // 2) + 1)}
     for i in range(n):
         found = []
-        for j in range(i + 3, min(n, i + 12) + 1):
-            if rank := _ranks.get(low[i:j]):
+        for j in range(i + 3, min(n, i + LONGEST) + 1):
+            if not low[j - 3:j].isalpha():
+                break
+            if rank := ranks.get(low[i:j]):
                 cased = value[i:j] != low[i:j]
                 found.append((j, math.log10(rank) + cased * math.log10(2 if value[i:j].istitle() or value[i:j].isupper() else 2 ** (j - i)), "word"))
         if m := _date.match(value, i):
@@ -90,7 +98,7 @@ def pieces(value: str) -> list[tuple[int, int, float, str]]:
     return [(i, *piece) for i, found in enumerate(pieces_from(value)) for piece in found]
 
 
-def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
+def guess_cost(value: str, ranks: dict[str, int] = _ranks) -> tuple[float, list[tuple[int, int, str]]]:
     """Smallest log10 of guesses over all cuts, and that cut; a cut into k pieces costs log10(k) more than its pieces.
 
     ``best[j]`` holds the cheapest cut of the first ``j`` characters, for the
@@ -98,7 +106,7 @@ def guess_cost(value: str) -> tuple[float, list[tuple[int, int, str]]]:
     """
     n, each = len(value), math.log10(alphabet(value))
     best: list[tuple[float, int, str]] = [(0.0, 0, "")] + [(math.inf, 0, "")] * n
-    for i, found in enumerate(pieces_from(value)):
+    for i, found in enumerate(pieces_from(value, ranks)):
         so_far = best[i][0]
         best[i + 1] = min(best[i + 1], (so_far + each, i, "brute"))
         for j, cost, kind in found:
@@ -124,25 +132,53 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
     return spans + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
-def guess_spans(text: str, low: str, base: list[tuple[int, int, int]], min_log10: float) -> list[tuple[int, int, int]]:
+def guess_spans(text: str, low: str, base: list[tuple[int, int, int]], min_log10: float,
+                ranks: dict[str, int] = _ranks) -> list[tuple[int, int, int]]:
     if not any(hint in low for hint in HINTS):
         return []
     taken = [(s, e) for s, _, e in base]
-    return [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text)
-            if not any(s < m.end(1) and m.start(1) < e for s, e in taken) and value_is_secret(m[1], min_log10)]
+    found = []
+    for m in CONTEXT.finditer(text):
+        start, end = m.span(1)
+        quoted = text[start - 1] in "\"'" and text[end:end + 1] == text[start - 1]
+        if not any(s < end and start < e for s, e in taken) and value_is_secret(m[1], min_log10, quoted, ranks):
+            found.append((start, 3, end))
+    return found
 
 
-def value_is_secret(value: str, min_log10: float) -> bool:
-    """Hard to guess, and of more than one kind of character: a lone word or number in prose is no password."""
-    kinds = sum(bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\x80-\U0010ffff]"))
-    return kinds >= 3 and guess_cost(value)[0] >= min_log10
+def value_is_secret(value: str, min_log10: float, quoted: bool = False, ranks: dict[str, int] = _ranks) -> bool:
+    """Hard to guess, and in quotes, of letters and digits, or of three kinds of character: a lone word or number in prose is no password."""
+    lower, upper, digit, sign = (bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\x80-\U0010ffff]"))
+    mixed = digit and (lower or upper) or lower + upper + digit + sign >= 3
+    return (quoted or mixed) and guess_cost(value, ranks)[0] >= min_log10
 
 
-def spans_of(text: str, min_log10: float = 10.0) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def prose_ranks(docs: DataFrame, most: int = 20_000, least_docs: int = 10) -> dict[str, int]:
+    """Ranks of the words of the texts by the number of texts they stand in, outside of credential contexts, with those of ``COMMON``.
+
+    At most ``most`` words reach the driver. Words of fewer than ``least_docs`` texts are not
+    prose: they may be somebody's password.
+    """
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        seen: Counter[str] = Counter()
+        for text in T.texts_of(batch):
+            low = text.lower()
+            seen.update(set(PROSE.findall(CONTEXT.sub(" ", low) if any(hint in low for hint in HINTS) else low)))
+        return T.named_batch(word=pa.array(seen.keys(), pa.string()), n=pa.array(seen.values(), pa.int64()))
+
+    counted = T.scan(T.id_and_text(docs), step, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    first = settle(counted.where(F.col("n") >= least_docs).orderBy(F.desc("n"), "word").limit(most))  # collected at once, each slice would send its own
+    rows = first.orderBy(F.desc("n"), "word").collect()
+    ranks = {r["word"]: rank for rank, r in enumerate(rows, 1)}
+    return ranks | {w: min(rank, ranks.get(w, rank)) for w, rank in _ranks.items()}
+
+
+def spans_of(text: str, min_log10: float = 10.0, ranks: dict[str, int] = _ranks) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans and all spans, both by start, then kind."""
     low = text.lower()
     base = sorted(base_spans(text, low))
-    return base, sorted(base + guess_spans(text, low, base, min_log10))
+    return base, sorted(base + guess_spans(text, low, base, min_log10, ranks))
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -151,9 +187,10 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 def find_secrets(docs: DataFrame, min_log10: float = 10.0) -> DataFrame:
     """doc_id, base_spans and spans as written lists."""
+    ranks = docs.sparkSession.sparkContext.broadcast(prose_ranks(docs))
 
     def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-        both = [spans_of(t, min_log10) for t in T.texts_of(batch)]
+        both = [spans_of(t, min_log10, ranks.value) for t in T.texts_of(batch)]
         counts = np.array([[sum(k == kind for _, k, _ in base) for kind in range(3)] for base, _ in both], np.int64)
         base = [written(b) for b, _ in both]
         return T.named_batch(doc_id=batch.column("doc_id"), n_assign=counts[:, 0], n_access=counts[:, 1], n_hex=counts[:, 2],
@@ -167,12 +204,13 @@ def find_secrets(docs: DataFrame, min_log10: float = 10.0) -> DataFrame:
 def redact(docs: DataFrame, marker: str = "[secret]", min_log10: float = 10.0) -> DataFrame:
     """The documents with every span (overlaps joined) replaced; all columns stay, ``n_chars`` follows the text."""
     schema, names = docs.schema, docs.columns
+    ranks = docs.sparkSession.sparkContext.broadcast(prose_ranks(docs))
 
     def clean(text: str | None) -> str | None:
         if not text:
             return text
         out, at = [], 0
-        for start, _, end in spans_of(text, min_log10)[1]:
+        for start, _, end in spans_of(text, min_log10, ranks.value)[1]:
             if start >= at:
                 out += [text[at:start], marker]
             at = max(at, end)
