@@ -5,7 +5,7 @@ texts. The method adds ``guess`` spans: a value that follows a credential word
 and an assignment sign is cut into dictionary words, dates, repeats, keyboard or
 alphabet walks and brute-force spans by dynamic programming over all cuts; the
 cut with the fewest guesses tells how hard the value is to find. Values of at
-least ``min_log10`` guesses that no ``assign`` span covers are reported, so
+least ``min_log10`` guesses that no base span contains whole are reported, so
 ``password=sunshine1999`` is cheap and ``pwd: vK9#tq2L`` is a secret.
 
 Words are ranked by ``COMMON`` and by a bounded count over the texts themselves, so
@@ -20,8 +20,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -134,14 +136,16 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
 
 def guess_spans(text: str, low: str, base: list[tuple[int, int, int]], min_log10: float,
                 ranks: dict[str, int] = _ranks) -> list[tuple[int, int, int]]:
+    """Spans of whole values that no single one of the sorted ``base`` spans contains."""
     if not any(hint in low for hint in HINTS):
         return []
-    taken = [(s, e) for s, _, e in base]
+    starts, ends = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     found = []
     for m in CONTEXT.finditer(text):
         start, end = m.span(1)
         quoted = text[start - 1] in "\"'" and text[end:end + 1] == text[start - 1]
-        if not any(s < end and start < e for s, e in taken) and value_is_secret(m[1], min_log10, quoted, ranks):
+        before = bisect_right(starts, start)
+        if not (before and ends[before - 1] >= end) and value_is_secret(m[1], min_log10, quoted, ranks):
             found.append((start, 3, end))
     return found
 
