@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ventaria.llm import bpe, chat, decontam, fm_index, licenses, minhash, rules, secrets, suffix, text, toxicity
+from ventaria.llm import block_names, bpe, chat, decontam, fm_index, licenses, minhash, rules, secrets, suffix, text, toxicity
 
 
 def ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -24,10 +24,12 @@ QUERIES = {name: ready(query) for name, query in {
     "op8_substring_dedup": fm_index.op8_substring_dedup,
     "op9_minhash": minhash.op9_minhash,
     "op10_licenses": licenses.op10_licenses,
+    "op11_exact_dedup": block_names.op11_exact_dedup,
 }.items()}
 
 STATEMENTS: dict[str, str] = {
     "op3_chat": chat.OP3_SQL,
     "op8_substring_dedup": fm_index.OP8_SQL,
     "op9_minhash": minhash.OP9_SQL,
+    "op11_exact_dedup": block_names.OP11_SQL,
 }
