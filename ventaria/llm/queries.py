@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ventaria.llm import block_names, bpe, chat, decontam, fm_index, licenses, minhash, rules, secrets, suffix, text, toxicity
+from ventaria.llm import block_names, bpe, chat, decontam, fm_index, licenses, minhash, rules, secrets, suffix, text, toxicity, variants, whitening
 
 
 def ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -25,6 +25,8 @@ QUERIES = {name: ready(query) for name, query in {
     "op9_minhash": minhash.op9_minhash,
     "op10_licenses": licenses.op10_licenses,
     "op11_exact_dedup": block_names.op11_exact_dedup,
+    "op12_spelling_variants": variants.op12_spelling_variants,
+    "op13_whitening": whitening.op13_whitening,
 }.items()}
 
 STATEMENTS: dict[str, str] = {
