@@ -30,7 +30,7 @@ def tidy(links: DataFrame) -> DataFrame:
     return links.where("a <> b").distinct()
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node that has a link; the component is its smallest node.
 
     Groups are reduced to their minimum before they move, so a node with any
@@ -38,11 +38,10 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     now = settle(tidy(links.select(F.col("a").cast("long"), F.col("b").cast("long"))))
     before = None
-    for _ in range(most_rounds):
+    while True:  # every round but the last joins stars; about the square of the logarithm of a group's size
         now = settle(tidy(small_star(tidy(large_star(now)))))
         size = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if size == before:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         before = size
-    raise RuntimeError("components did not settle")

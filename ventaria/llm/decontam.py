@@ -8,23 +8,28 @@ whole inside some passage. Search is block-max WAND: posting lists are cut into
 blocks of items with the largest impact of each; the block bounds of all
 passages are added up at once, only blocks that can reach the threshold are
 entered, and there the lists are walked by pivot. Every item above the threshold
-is then verified: 0.8 of its five-word shingles must occur in the passage, and
-half of the words of its question and of its answer.
+is then verified: three quarters of its words must stand in the passage in the
+item's order (longest common subsequence), so must 0.4 of its word pairs side by
+side, and half of the words of its question and of its answer.
 
-Items are read in parts of at most 256 items and 2 MB, the index of a few parts
-(``parts_per_pass``) travels to the tasks at once, and larger benchmarks take
-further passes; texts are scanned without a shuffle.
+Document frequencies and the mean length are counted once over all items, so a
+score does not depend on how the items are cut. Tasks build the index of parts
+of at most 256 items (less for long ones) and write them; the driver passes
+``parts_per_pass`` of them at a time on to the scan of the texts, which shuffles
+nothing; larger benchmarks take further passes.
 
 An item's answer is what follows an ``Answer:`` mark, else its last line, else
 its last sentence; with none of these, question and answer are both the whole.
 Defined results: null or empty texts and items match nothing; repeated items are
-reported each; repeated texts too; an item of fewer words than a shingle has one
-shingle, its whole sequence; other columns are ignored.
+reported each; repeated texts too; an item of one word has one pair, the word
+itself; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,14 +38,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ventaria.llm import text as T
+from ventaria.llm.minhash import each_group
+from ventaria.operators.ordering import number_rows
+from ventaria.session import settle
 
 
 @dataclass(frozen=True)
 class Settings:
     least_score: float = 0.6
-    least_overlap: float = 0.8  # of the item's shingles
+    least_overlap: float = 0.75  # of the item's words, in order
+    least_pairs: float = 0.4  # of the item's neighbouring words
     least_half: float = 0.5  # of the words of the question, and of the answer
-    words: int = 5
     cell: int = 64
     k1: float = 1.2
     b: float = 0.75
@@ -73,21 +81,46 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(T.windows_of(words, np.array([0, len(words)]), size)[0])
 
 
+def aligned(item: list[int], span: list[int]) -> int:
+    """Length of the longest common subsequence, one bit for each word of the item."""
+    masks: dict[int, int] = {}
+    for k, word in enumerate(item):
+        masks[word] = masks.get(word, 0) | 1 << k
+    whole = row = (1 << len(item)) - 1
+    for word in span:
+        if word in masks:
+            used = row & masks[word]
+            row = ((row + used) | (row - used)) & whole
+    return len(item) - row.bit_count()
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """What a score takes from the whole benchmark."""
+
+    items: int
+    mean: float  # words of an item
+    counts: dict[int, int]  # items that have a term
+
+
 class Index:
-    """BM25 index of one part of the items; built by the driver, read by the tasks."""
+    """BM25 index of one part of the items; built and read by the tasks."""
 
-    def __init__(self, ids: list[int], texts: list[str], settings: Settings):
+    def __init__(self, ids: list[int], texts: list[str], settings: Settings, known: Statistics | None = None):
         self.settings, self.ids = settings, ids
         words = hashes_of(texts)
         halves = [question_and_answer(t) for t in texts]
         self.words, self.question, self.answer = words, hashes_of([q for q, _ in halves]), hashes_of([a for _, a in halves])
         self.cell = max([settings.cell, *map(len, words)])
         self.terms = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
-        n, mean = len(words), max(1.0, float(np.mean([len(w) for w in words] or [1])))
+        n = len(words)
+        known = known or Statistics(n, float(np.mean([len(w) for w in words] or [1])), {})
+        mean = max(1.0, known.mean)
         impacts: list[tuple[int, int, float]] = []
         held = [np.unique(np.searchsorted(self.terms, w), return_counts=True) for w in words]
         df = np.bincount(np.concatenate([t for t, _ in held] + [np.zeros(0, np.int64)]).astype(np.int64), minlength=len(self.terms))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        df = np.array([known.counts.get(t, d) for t, d in zip(self.terms.view(np.int64).tolist(), df.tolist())], float)
+        idf = np.log(1 + (known.items - df + 0.5) / (df + 0.5))
         for item, (terms, tf) in enumerate(held):
             part = idf[terms] * tf * (settings.k1 + 1) / (tf + settings.k1 * (1 - settings.b + settings.b * len(words[item]) / mean))
             impacts += [(t, item, v) for t, v in zip(terms.tolist(), (part / part.sum() if len(part) else part).tolist())]
@@ -179,8 +212,12 @@ class Index:
             low = int(words.first[row] + (p - start[row]) * self.cell)
             span = words.hashes[low:min(low + 2 * self.cell, int(words.first[row + 1]))]
             for item, score in hits:
-                shares = [self.share(self.words[item], span, self.settings.words), self.share(self.question[item], span, 1), self.share(self.answer[item], span, 1)]
-                if shares[0] >= self.settings.least_overlap and min(shares) >= self.settings.least_half:
+                pairs_found = self.share(self.words[item], span, 2)
+                if pairs_found < self.settings.least_pairs:
+                    continue
+                order = aligned(self.words[item].tolist(), span.tolist()) / len(self.words[item])
+                shares = [order, self.share(self.question[item], span, 1), self.share(self.answer[item], span, 1)]
+                if order >= self.settings.least_overlap and min(shares) >= self.settings.least_half:
                     made = (score, *shares, low - int(words.first[row]))
                     old = found.get((row, item))
                     if old is None or (made[1:4], -made[4]) > (old[1:4], -old[4]):
@@ -195,24 +232,63 @@ class Index:
         return len(np.intersect1d(shingles(part, size), shingles(span, size), assume_unique=True)) / len(shingles(part, size))
 
 
-def passes(benchmark: DataFrame, settings: Settings) -> list[list[Index]]:
-    """Indexes by pass; the driver holds one part of the items at a time beside the finished indexes."""
-    made: list[list[Index]] = [[]]
-    ids: list[int] = []
-    texts: list[str] = []
-    rows = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
-        ids.append(row["item_id"])
-        texts.append(row["text"])
-        if len(ids) == settings.part_items or sum(map(len, texts)) >= settings.part_bytes:
-            made[-1].append(Index(ids, texts, settings))
-            ids, texts = [], []
-            if len(made[-1]) == settings.parts_per_pass:
-                made.append([])
-    if ids:
-        made[-1].append(Index(ids, texts, settings))
-    return [p for p in made if p]
+def items_of(benchmark: DataFrame) -> DataFrame:
+    return benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+
+
+def statistics(items: DataFrame) -> DataFrame:
+    """term, n: items that have each term; under term null their number, and under ``words`` the words of all."""
+
+    def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = hashes_of(T.texts_of(batch))
+        terms, n = np.unique(np.concatenate([np.unique(w) for w in words]), return_counts=True)
+        return T.named_batch(term=pa.array([None, *terms.view(np.int64).tolist()], pa.int64()), n=np.append(len(words), n).astype(np.int64),
+                             words=np.append(sum(map(len, words)), np.zeros(len(n), np.int64)).astype(np.int64))
+
+    return T.scan(items, step, "term long, n long, words long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+
+
+def built_parts(benchmark: DataFrame, settings: Settings) -> DataFrame:
+    """(part, index) of all parts, built in tasks; a part's items bring along the counts of their own terms only."""
+    items = settle(items_of(benchmark))
+    counted = settle(statistics(items))
+    total = counted.where("term is null").first()
+    if total is None:
+        return items.select(F.lit(0).alias("part"), F.lit(b"").alias("index")).where("false")
+
+    def terms_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = [np.unique(w) for w in hashes_of(T.texts_of(batch))]
+        each = pa.array(np.repeat(np.arange(len(words)), [len(w) for w in words]))
+        return T.named_batch(at=batch.column("at").take(each), part=batch.column("part").take(each), term=np.concatenate(words).view(np.int64))
+
+    longest = F.ceil(F.octet_length("text") / (settings.part_bytes // settings.part_items))
+    room = number_rows(items.withColumn("size", F.greatest(F.lit(1), F.least(longest, F.lit(settings.part_items))).cast("long")),
+                       "item_id, text", position="at", running=("size", "reach"))
+    placed = settle(room.select("at", "item_id", "text", F.floor((F.col("reach") - 1) / settings.part_items).cast("int").alias("part")))
+    terms = T.scan(placed.select("at", "part", "text"), terms_of, "at long, part int, term long").select("part", "term").distinct()
+    known = terms.join(counted, "term").select("part", F.lit(None).cast("long").alias("item_id"), F.lit(None).cast("string").alias("text"), "term", "n")
+    rows = placed.select("part", "item_id", "text", F.lit(None).cast("long").alias("term"), F.lit(None).cast("long").alias("n")).unionByName(known)
+    mean = total["words"] / total["n"]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in each_group(batches, "part"):
+            held = [r for r in batch.to_pylist()]
+            counts = {r["term"]: r["n"] for r in held if r["term"] is not None}
+            own = sorted((r["item_id"], r["text"]) for r in held if r["item_id"] is not None)
+            index = Index([i for i, _ in own], [t for _, t in own], settings, Statistics(total["n"], mean, counts))
+            yield T.named_batch(part=pa.array([held[0]["part"]], pa.int32()), index=pa.array([pickle.dumps(index)], pa.binary()))
+
+    return settle(rows.repartition("part").sortWithinPartitions("part").mapInArrow(build, "part int, index binary"))
+
+
+def passes(benchmark: DataFrame, settings: Settings) -> Iterator[list[Index]]:
+    """The indexes of one pass at a time; the driver holds ``parts_per_pass`` of them."""
+    parts = built_parts(benchmark, settings)
+    last = parts.agg(F.max("part")).first()[0]
+    for first in range(0, 0 if last is None else last + 1, settings.parts_per_pass):
+        rows = parts.where(F.col("part").between(first, first + settings.parts_per_pass - 1)).orderBy("part").collect()
+        yield [pickle.loads(r["index"]) for r in rows]
 
 
 LEAKS = "doc_id long, item_id long, score double, item_overlap double, question_overlap double, answer_overlap double, first_word long"

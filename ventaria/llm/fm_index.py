@@ -306,6 +306,7 @@ def cut(batch: pa.RecordBatch, lists: list[list]) -> pa.RecordBatch:
 
 def dedup_words(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256."""
+    docs, named = T.unclashed(docs)
     windows = settle(repeated_windows(docs))
     mine = windows.groupBy("doc_id").agg(F.collect_list(F.array("low", "mask")).alias("marked"))  # bounded by the text
     touched = R.texts_with(docs, windows).join(mine, "doc_id", "left")
@@ -314,7 +315,7 @@ def dedup_words(docs: DataFrame) -> DataFrame:
         return cut(batch, [x or [] for x in batch.column("marked").to_pylist()])
 
     whole = R.texts_without(docs, windows, lambda batch: cut(batch, [[]] * batch.num_rows), RESULT)
-    return whole.union(T.scan(touched, step, RESULT))
+    return T.with_ids(whole.union(T.scan(touched, step, RESULT)), named, "doc_id")
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,6 +310,12 @@ def confirmed(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFram
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept."""
+    docs, named = T.unclashed(docs)
+    return T.with_ids(judged(docs, settings), named, "doc_id", "component_id")
+
+
+def judged(docs: DataFrame, settings: Settings) -> DataFrame:
+    """The same for documents of which no id has two texts."""
     prints = settle(fingerprints(docs, settings))
     classes = settle(prints.where("n > 0 and doc_id is not null").groupBy("low", "high", "n").agg(
         F.min("doc_id").alias("id"), F.min_by("signature", "doc_id").alias("signature"), F.min_by("bands", "doc_id").alias("bands")))
@@ -333,8 +339,14 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One document of each component stays, the one with the smallest id; all columns stay."""
-    gone = near_duplicates(docs, settings).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(settle(gone), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    told, named = T.unclashed(docs)
+    gone = judged(told, settings).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    if named is None:
+        return docs.join(settle(gone), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    sha = lambda text: F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+    lost = told.join(settle(gone), F.col("doc_id") == F.col("_gone"), "left_semi").join(named, F.col("doc_id") == F.col("number"))
+    lost = settle(lost.select(F.col("own_id").alias("_gone"), sha(F.col("text")).alias("_sha")).distinct())
+    return docs.join(lost, (docs["doc_id"].cast("long") == F.col("_gone")) & (sha(docs["text"]) == F.col("_sha")), "left_anti")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,7 +119,8 @@ def labelled_bins(docs: DataFrame, labels: DataFrame, settings: Settings) -> tup
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.min("quality") == 0).cast("int").alias("bad"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_rows))
     known = docs.join(F.broadcast(marks.select(F.col("doc_id").alias("_marked"))), docs["doc_id"].cast("long") == F.col("_marked"), "left_semi")
-    rows = settle(measures(known).where(~F.col("base_failed")).join(F.broadcast(marks), "doc_id"))  # at most max_rows rows each
+    told = measures(known).where(~F.col("base_failed")).groupBy("doc_id").agg(F.min(F.struct(*MEASURES)).alias("m")).select("doc_id", "m.*")
+    rows = settle(told.join(F.broadcast(marks), "doc_id"))  # one row for each of at most max_rows ids
     parts = [k / settings.bins for k in range(1, settings.bins)]
     borders = rows.agg(*[F.percentile_approx(F.when(F.col("bad") == b, F.col(m)), parts, 10_000).alias(f"{m}_{b}")
                          for m in MEASURES for b in (0, 1)]).first()

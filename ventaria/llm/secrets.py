@@ -2,7 +2,8 @@
 
 Base spans (kinds ``assign``, ``access``, ``hex``) come from patterns over whole
 texts. The method adds ``guess`` spans: a value that follows a credential word
-and an assignment sign is cut into dictionary words, dates, repeats, keyboard or
+(also one of several joined words) and an assignment sign, in quotes up to the
+same quote, else up to white space, is cut into dictionary words, dates, repeats, keyboard or
 alphabet walks and brute-force spans by dynamic programming over all cuts; the
 cut with the fewest guesses tells how hard the value is to find. Values of at
 least ``min_log10`` guesses that no base span contains whole are reported, so
@@ -37,7 +38,12 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run is taken whole, so the length can be asked for at once
-CONTEXT = re.compile(r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api_?key|auth|credentials?|private_?key)["']?\x20*[:=]\x20*["']?([^\x00-\x20"'`<>,;]{6,})""", re.I | re.A)
+# A credential word, up to three joined words (secret_key, AWS_SECRET_ACCESS_KEY), a sign, and the value: in quotes all up to the
+# same quote on the line, else all up to white space.
+CONTEXT = re.compile(
+    r"""(?<![A-Za-z])(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[-_\x20]?key|auth(?:orization)?|credentials?|private[-_\x20]?key|access[-_\x20]?key)"""
+    r"""(?:[-_\x20][A-Za-z0-9]{1,30}){0,3}["'`]?[\x20\t]*(?::=|=>|[:=])[\x20\t]*(?:(?:Bearer|Basic)[\x20\t]+)?"""
+    r"""(?:"((?:\\.|[^"\\\n])+)"|'((?:\\.|[^'\\\n])+)'|`([^`\n]+)`|["'`]?([^\x00-\x20"'`][^\x00-\x20]{5,}))""", re.I | re.A)
 PROSE = re.compile(r"(?<![^\W_])[^\W\d_]{3,20}(?![^\W_])")
 LONGEST = 20  # letters of a ranked word
 HINTS = ("pass", "pwd", "pin", "secret", "token", "api", "auth", "credential", "private")
@@ -142,21 +148,13 @@ def guess_spans(text: str, low: str, base: list[tuple[int, int, int]], min_log10
     starts, ends = [s for s, _, _ in base], list(accumulate((e for _, _, e in base), max))
     found = []
     for m in CONTEXT.finditer(text):
-        start, end = m.span(1)
-        quoted = text[start - 1] in "\"'" and text[end:end + 1] == text[start - 1]
+        start, end = m.span(m.lastindex)
         before = bisect_right(starts, start)
-        if not (before and ends[before - 1] >= end) and value_is_secret(m[1], min_log10, quoted, ranks):
+        if not (before and ends[before - 1] >= end) and guess_cost(text[start:end], ranks)[0] >= min_log10:
             found.append((start, 3, end))
     return found
 
 
-def value_is_secret(value: str, min_log10: float, quoted: bool = False, ranks: dict[str, int] = _ranks) -> bool:
-    """Hard to guess, and in quotes, of letters and digits, or of three kinds of character: a lone word or number in prose is no password."""
-    lower, upper, digit, sign = (bool(re.search(c, value)) for c in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w\x80-\U0010ffff]"))
-    mixed = digit and (lower or upper) or lower + upper + digit + sign >= 3
-    return (quoted or mixed) and guess_cost(value, ranks)[0] >= min_log10
-
-
 def prose_ranks(docs: DataFrame, most: int = 20_000, least_docs: int = 10) -> dict[str, int]:
     """Ranks of the words of the texts by the number of texts they stand in, outside of credential contexts, with those of ``COMMON``.
 

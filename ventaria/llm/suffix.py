@@ -323,6 +323,7 @@ def cut(batch: pa.RecordBatch, ranges: list[np.ndarray]) -> pa.RecordBatch:
 
 def dedup_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    docs, named = T.unclashed(docs)
     ranges = settle(repeated_ranges(docs))
     mine = ranges.groupBy("doc_id").agg(F.collect_list(F.array("start", "end")).alias("spans"))  # bounded by the text
     touched = R.texts_with(docs, ranges).join(mine, "doc_id", "left")
@@ -331,7 +332,7 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
         return cut(batch, [np.array(x or [], np.int64).reshape(-1, 2) for x in batch.column("spans").to_pylist()])
 
     whole = R.texts_without(docs, ranges, lambda batch: cut(batch, [np.zeros((0, 2), np.int64)] * batch.num_rows), RESULT)
-    return whole.union(T.scan(touched, step, RESULT))
+    return T.with_ids(whole.union(T.scan(touched, step, RESULT)), named, "doc_id")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

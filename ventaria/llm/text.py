@@ -18,6 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ventaria.operators.ordering import positions
+from ventaria.session import settle
+
 SLICE_BYTES = 500_000
 BATCH_BYTES = 8 << 20
 BASE, BASE_INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -131,6 +134,22 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each range of bytes: every eight bytes are mixed with their place, so no rule of cancelling terms makes two ranges equal."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    chunks = (ends - starts + 7) >> 3
+    first = np.cumsum(chunks) - chunks
+    place = np.arange(first[-1] + chunks[-1]) - np.repeat(first, chunks)
+    at = np.repeat(starts, chunks) + 8 * place
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    spare = (8 * np.maximum(0, at + 8 - np.repeat(ends, chunks))).astype(np.uint64)
+    value = (eights[at] << spare) >> spare
+    mixed = mix(mix(value ^ (place.astype(np.uint64) * np.uint64(GOLDEN))) + place.astype(np.uint64))
+    return mix(np.add.reduceat(mixed, first) + (ends - starts).astype(np.uint64) * np.uint64(GOLDEN))
+
+
 def words_of(batch: pa.RecordBatch, inside: np.ndarray = SPACE, lower: bool = False) -> Words:
     data, offsets = text_bytes(batch)
     if lower:
@@ -145,9 +164,7 @@ def words_of(batch: pa.RecordBatch, inside: np.ndarray = SPACE, lower: bool = Fa
         stops = offsets[1:][offsets[1:] > 0] - 1
         after[stops] = False
     starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_spread[data] * powers(BASE, len(data)), out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * powers(BASE_INVERSE, len(data) + 1)[starts] + (ends - starts).astype(np.uint64))
+    hashes = range_hashes(data, starts, ends)
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
@@ -169,6 +186,37 @@ def named_batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
+def unclashed(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """doc_id and text with one text for each id, and how to read the ids.
+
+    Where no id has two texts, these are the documents themselves and None. Else
+    every distinct (id, text) gets a number of its own, rising with the id, in
+    place of the id; the second part is (number, own_id). Rows that repeat an id
+    and its text share a number; null ids stay null.
+    """
+    rows = id_and_text(docs)
+    text = F.coalesce("text", F.lit(""))
+    marked = rows.select("*", F.xxhash64(text).alias("one"), F.xxhash64(F.lit(1), text).alias("two"))
+    least = marked.where("doc_id is not null").groupBy("doc_id").agg(*[f(c).alias(f"{c}_{f.__name__}") for c in ("one", "two") for f in (F.min, F.max)])
+    if least.where("one_min <> one_max or two_min <> two_max").isEmpty():
+        return rows, None
+    keys = ["doc_id", "one", "two"]
+    named = positions(marked.where("doc_id is not null").select(*keys).distinct(), [F.col(k) for k in keys], "number")
+    numbered = marked.join(named, keys, "left").select(F.col("number").alias("doc_id"), "text")
+    return settle(numbered), settle(named.select("number", F.col("doc_id").alias("own_id")))
+
+
+def with_ids(rows: DataFrame, named: DataFrame | None, *columns: str) -> DataFrame:
+    """``rows`` with the numbers in ``columns`` read as ids again."""
+    if named is None:
+        return rows
+    names = rows.columns
+    for k, column in enumerate(columns):
+        rows = rows.join(named.select(F.col("number").alias(f"_n{k}"), F.col("own_id").alias(f"_o{k}")), F.col(column) == F.col(f"_n{k}"), "left")
+        rows = rows.withColumn(column, F.col(f"_o{k}")).drop(f"_n{k}", f"_o{k}")
+    return rows.select(*names)
+
+
 def crc_fold(column, folds: int = 5):
     """crc32 of the id as text, modulo the folds; a null id counts as fold 1."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % folds, F.lit(1))

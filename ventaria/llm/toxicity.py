@@ -94,6 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_rows))
     sample = T.id_and_text(docs).join(F.broadcast(marks), "doc_id")  # at most max_rows small rows
     found = T.scan(sample, distinct_features, "doc_id long, label int, features array<int>")
+    found = found.groupBy("doc_id", "label").agg(F.min("features").alias("features"))  # one row for each id, of at most 2 ** BITS indexes
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
