@@ -23,14 +23,15 @@ def change_log(
     """Rows added, changed and removed between two snapshots with a unique key.
 
     A row counts as changed when any column differs, NULL being equal to NULL.
-    Images are rendered only for rows that changed.
+    Images are rendered only for rows that changed. Rows without a key belong to
+    no row of the other side: they are removed and added.
     """
     columns = new.columns
-    before = old.select(F.col(key).alias("_ok"), F.struct(*columns).alias("_old"))
-    after = new.select(F.col(key).alias("_nk"), F.struct(*columns).alias("_new"))
+    before = old.select(F.lit(True).alias("_was"), F.col(key).alias("_ok"), F.struct(*columns).alias("_old"))
+    after = new.select(F.lit(True).alias("_is"), F.col(key).alias("_nk"), F.struct(*columns).alias("_new"))
     both = before.join(after, F.col("_ok") == F.col("_nk"), "full")
     same = all_of([F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}")) for c in columns])
-    action = F.when(F.col("_ok").isNull(), ACTIONS[0]).when(F.col("_nk").isNull(), ACTIONS[2]).when(~same, ACTIONS[1])
+    action = F.when(F.col("_was").isNull(), ACTIONS[0]).when(F.col("_is").isNull(), ACTIONS[2]).when(~same, ACTIONS[1])
     changed = both.select("*", action.alias("action_type")).where("action_type IS NOT NULL")
     render = lambda c: F.when(F.col(c).isNotNull(), F.to_json(c, {"ignoreNullFields": "false"}))
     return changed.select(

@@ -6,7 +6,9 @@ import atexit
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,10 +58,29 @@ def settle(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    for made in getattr(_here, "made", []):
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_here = threading.local()
+
+
+@contextmanager
+def leftovers_removed(spark: SparkSession):
+    """Delete what this thread settles inside the block when it ends; results must be written by then."""
+    own: list[str] = []
+    _here.made = [*getattr(_here, "made", []), own]
+    try:
+        yield
+    finally:
+        _here.made = _here.made[:-1]
+        for folder in own:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _dropped = 0
 
 

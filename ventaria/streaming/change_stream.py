@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ventaria.operators.changelog import log_versions
-from ventaria.session import settle
+from ventaria.session import leftovers_removed, settle
 
 IMAGES = "record_key string, version long, image string"
 BATCH = "batch_id"
@@ -38,6 +38,12 @@ def beside(log: str) -> str:
 
 
 def apply_batch(batch: DataFrame, batch_id: int, state: str, log: str) -> None:
+    """One micro-batch; what it settled on the way is removed at its end."""
+    with leftovers_removed(batch.sparkSession):
+        write_batch(batch, batch_id, state, log)
+
+
+def write_batch(batch: DataFrame, batch_id: int, state: str, log: str) -> None:
     """Write the events, the new last images and the refused images of one micro-batch.
 
     Nothing is dropped: an image that is not newer than the stored one goes to the
