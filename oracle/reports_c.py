@@ -204,6 +204,15 @@ def values(key: str, attrs: dict[str, str], count: str) -> str:
 
 
 SQL["product_name_conflicts"] = q("tidy", values("product_id", {"product_name": "names_found"}, "total_rows"))
+SQL["customer_name_conflicts"] = q("tidy", values("customer_id", {"customer_name": "names_found"}, "total_rows"))
+SQL["customer_segment_conflicts"] = q("tidy", values("customer_id", {"segment": "segments_found"}, "total_rows"))
+SQL["product_category_conflicts"] = q("tidy", values("product_id", {"category": "categories_found"}, "total_rows"))
+SQL["product_sub_category_conflicts"] = q("tidy", values("product_id", {"sub_category": "sub_categories_found"}, "total_rows"))
+SQL["ship_mode_recoverable_rows"] = q("text", "SELECT row_id, order_id, v AS ship_mode_found FROM tidy JOIN modes USING (order_id) WHERE ship_mode IS NULL")
+SQL["sales_recoverable_rows"] = q("text", "SELECT row_id, product_id, discount, quantity, sales AS sales_original, "
+    f"{d('CAST(CAST(TRY_CAST(quantity AS DECIMAL(12,6)) * unit_price AS DECIMAL(38,12)) AS DECIMAL(20,6))')} AS sales_computed FROM found WHERE {SALES_OK}")
+SQL["quantity_recoverable_rows"] = q("text", f"SELECT row_id, product_id, discount, sales, quantity AS quantity_original, CAST(round({QUOT}) AS BIGINT) AS quantity_computed FROM found WHERE {QUANT_OK}")
+SQL["profit_recoverable_rows"] = q("text", f"SELECT row_id, product_id, discount, sales, profit AS profit_original, {d('margin')} AS margin, {d('CAST(ROUND(' + num('sales') + ' * margin, 6) AS DECIMAL(20,6))')} AS profit_computed FROM joined WHERE {PROFIT_OK}")
 SQL["customer_id_conflicts"] = q("tidy", values("customer_name", {"customer_id": "customer_ids"}, "total_rows"))
 SQL["customer_id_conflicts_after"] = q("text", f"SELECT {broken('customer_name', 'customer_id', 'txt')} AS names_with_several_customers")
 REUSED = "ru AS (SELECT product_id, COUNT(DISTINCT product_name) n FROM txt GROUP BY 1 HAVING COUNT(DISTINCT product_name) > 1)"
@@ -244,7 +253,14 @@ SQL["rejected_casts"] = q("text", " UNION ALL ".join(f"SELECT row_id, order_id,
 _SPOILT = "CAST(row_id AS BIGINT) % 1009 = 3"
 SQL["corrupt_records"] = q("raw", f"SELECT COUNT(*) AS total_records, {n_if(_SPOILT)} AS corrupt_records, {n_if('NOT ' + _SPOILT)} AS readable_records, {d('SUM(' + num('sales') + f') FILTER (NOT {_SPOILT})')} AS readable_sales FROM raw")
 _NEW = "CAST(row_id AS BIGINT) % 3 <> 0"
-SQL["append_new_rows"] = q("raw", f"SELECT {n_if(_NEW)} AS appended_rows, COUNT(DISTINCT CASE WHEN {_NEW} THEN row_id END) AS appended_keys FROM (SELECT DISTINCT * FROM raw)")
+SQL["append_new_rows"] = q("raw", f"SELECT COUNT(DISTINCT CASE WHEN {_NEW} THEN row_id END) AS appended_rows, COUNT(DISTINCT CASE WHEN {_NEW} THEN row_id END) AS appended_keys FROM (SELECT DISTINCT * FROM raw)")
+_OTHERS = ", ".join(c for c in COLS if c != "row_id")
+SQL["append_contradictions"] = q("raw", "SELECT (SELECT COUNT(*) FROM taken) AS appended_rows, (SELECT COUNT(*) FROM taken WHERE product_name LIKE '% (2)') AS second_rows, "
+    "(SELECT COUNT(*) FROM aside) AS set_aside, (SELECT COUNT(DISTINCT row_id) FROM aside) AS contradictory_keys",
+    "arriving AS (SELECT DISTINCT * FROM (SELECT * FROM raw UNION ALL SELECT * REPLACE (product_name || ' (2)' AS product_name) FROM raw WHERE CAST(row_id AS BIGINT) % 7 = 1))",
+    f"ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY row_id ORDER BY {', '.join(c + ' NULLS FIRST' for c in COLS if c != 'row_id')}) AS k FROM arriving WHERE {_NEW})",
+    "taken AS (SELECT * FROM ranked WHERE k = 1)", "aside AS (SELECT * FROM ranked WHERE k > 1)")
+SQL["load_size"] = q("raw", f"SELECT COUNT(*) AS total_rows, {len(COLS)} AS total_columns, 'OK' AS status FROM raw")
 SQL["model_conflicts"] = q("clean", " UNION ALL ".join(f"SELECT '{n}' AS rule, COUNT(*) AS total_rows FROM judged WHERE list_contains(string_split(broken_rules, ','), '{n}') HAVING COUNT(*) > 0" for n, _, _ in CONFLICTS))
 _K = {"sales": "DECIMAL(15,6)", "quantity": "DECIMAL(20,6)", "discount": "DECIMAL(4,2)", "profit": "DECIMAL(15,6)"}
 
@@ -266,6 +282,12 @@ for name, table in TABLES.items():
     SQL[f"model_{name}"] = q("model", f"SELECT {cols} FROM {table}")
 SQL["model_counts"] = q("model", "SELECT " + ", ".join(f"(SELECT COUNT(*) FROM {t}) AS total_{n}" for n, t in TABLES.items()))
 SQL["product_listing"] = q("model", "SELECT product_key, source_product_id, product_name, sub_category_name, category_name FROM products JOIN sub_categories USING (sub_category_id) JOIN categories USING (category_id) ORDER BY source_product_id, product_name, product_key")
+SQL["lookup_listing"] = q("model", " UNION ALL ".join(f"SELECT '{t}' AS lookup, CAST({k} AS BIGINT) AS id, {n} AS name, (SELECT COUNT(*) FROM {t}) AS lookup_rows FROM {t}" for t, k, n in (
+    ("segments", "segment_id", "segment_name"), ("ship_modes", "ship_mode_id", "ship_mode_name"), ("regions", "region_id", "region_name"), ("categories", "category_id", "category_name"))))
+SQL["sub_category_listing"] = q("model", "SELECT sub_category_id, category_name, sub_category_name FROM sub_categories JOIN categories USING (category_id)")
+SQL["location_listing"] = q("model", "SELECT location_id, country, state, city, postal_code, region_name FROM locations JOIN regions USING (region_id)")
+SQL["customer_listing"] = q("model", "SELECT customer_id, customer_name, segment_name FROM customers JOIN segments USING (segment_id)")
+SQL["detail_listing"] = q("model", f"SELECT order_detail_key, source_row_id, source_order_id, customer_id, product_name, {d('sales')} AS sales, quantity, {d('discount')} AS discount, {d('profit')} AS profit FROM order_details JOIN ord USING (order_key) JOIN products USING (product_key)")
 SQL["order_listing"] = q("model", "SELECT order_key, source_order_id, order_date, ship_date, customer_name, city, state, ship_mode_name FROM ord JOIN customers USING (customer_id) JOIN locations USING (location_id) LEFT JOIN ship_modes USING (ship_mode_id) ORDER BY order_date, source_order_id, order_key")
 SQL["unmatched_rows"] = q("model", " UNION ALL ".join(f"SELECT '{n}' AS entity, COUNT(*) AS unmatched FROM clean c WHERE NOT EXISTS ({t})" for n, t in {
     "sub_categories": "SELECT 1 FROM sub_categories JOIN categories USING (category_id) WHERE category_name = c.category AND sub_category_name = c.sub_category",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.base import big, d, lines_by, n_if, orders_by, pick, q
 from oracle.reports_a import CAT, CITY, CUST, DESC, MONTH, OVERVIEW, PROD, SHIP, SUBCAT
+from oracle.reports_a import SQL as VIEW_SQL
 from oracle.reports_c import q as staged
 from ventaria.plans.display import DISPLAYS
 
@@ -75,3 +76,30 @@ VERS = """ver AS (SELECT CAST(order_key AS VARCHAR) AS k, 0 AS v, true AS live,
 lag1 AS (SELECT *, LAG(live) OVER w AS pl, LAG(ship_mode) OVER w AS pm, LAG(ship_date) OVER w AS pd FROM ver WINDOW w AS (PARTITION BY k ORDER BY v)),
 evs AS (SELECT k, v, CASE WHEN live AND NOT COALESCE(pl, false) THEN 'INSERT' WHEN NOT live AND COALESCE(pl, false) THEN 'DELETE' WHEN live AND (ship_mode IS DISTINCT FROM pm OR ship_date IS DISTINCT FROM pd) THEN 'UPDATE' END AS a FROM lag1)"""
 SQL["order_versions"] = q("SELECT k AS record_key, COUNT(*) AS events, " + ", ".join(n_if(f"a = '{a}'") + f" AS {a.lower()}" for a in ("INSERT", "UPDATE", "DELETE")) + ", CAST(MAX(v) AS INTEGER) AS last_version FROM evs WHERE a IS NOT NULL GROUP BY 1", SNAP, VERS)
+SQL["record_history"] = q("SELECT audit_id, record_key, version, action_type, old_ship_mode, new_ship_mode FROM seqd WHERE n = (SELECT MAX(n) FROM seqd)", SNAP, VERS,
+    "seqd AS (SELECT ROW_NUMBER() OVER (ORDER BY k, v) AS audit_id, k AS record_key, v AS version, a AS action_type, pm AS old_ship_mode, m AS new_ship_mode, COUNT(*) OVER (PARTITION BY k) AS n FROM evs2 WHERE a IS NOT NULL)".replace("evs2", "(SELECT e.k, e.v, e.a, CASE WHEN l.pl THEN l.pm END AS pm, CASE WHEN l.live THEN l.ship_mode END AS m FROM evs e JOIN lag1 l ON e.k = l.k AND e.v = l.v)"))
+
+# ---- views after a day of changes: the same statements over changed lines and orders
+_LATER = f"""lines AS (
+  SELECT order_key, CASE WHEN source_row_id % 10 = 5 AND product_key > 1 THEN product_key - 1 ELSE product_key END AS product_key, source_row_id, discount,
+    CASE WHEN source_row_id % 10 = 1 THEN CAST(sales + 25 AS DECIMAL(15,6)) ELSE sales END AS sales, quantity, CASE WHEN source_row_id % 10 = 3 THEN NULL ELSE profit END AS profit
+  FROM lines0 WHERE order_key % 20 <> 0 AND source_row_id % 10 <> 7
+  UNION ALL SELECT order_key + {MOVED}, CASE WHEN source_row_id % 10 = 5 AND product_key > 1 THEN product_key - 1 ELSE product_key END, source_row_id + {MOVED}, discount,
+    CASE WHEN source_row_id % 10 = 1 THEN CAST(sales + 25 AS DECIMAL(15,6)) ELSE sales END, quantity, CASE WHEN source_row_id % 10 = 3 THEN NULL ELSE profit END
+  FROM lines0 WHERE order_key % 20 = 2 AND source_row_id % 10 <> 7),
+headers AS (
+  SELECT * REPLACE (CASE WHEN order_key % 20 = 6 THEN order_date + 40 ELSE order_date END AS order_date,
+    CASE WHEN order_key % 20 = 6 THEN ship_date + 40 WHEN order_key % 10 = 1 THEN ship_date + 1 ELSE ship_date END AS ship_date,
+    CASE WHEN order_key % 10 = 1 THEN shipping_days + 1 ELSE shipping_days END AS shipping_days, CASE WHEN order_key % 10 = 3 THEN NULL ELSE ship_mode END AS ship_mode)
+  FROM headers0 WHERE order_key % 20 <> 0
+  UNION ALL SELECT * REPLACE (order_key + {MOVED} AS order_key, CAST(order_key + {MOVED} AS VARCHAR) AS order_id) FROM headers0 WHERE order_key % 20 = 2),
+products AS ("""
+
+
+def after_changes(statement: str) -> str:
+    return statement.replace("\nlines AS (", "\nlines0 AS (", 1).replace("\nheaders AS (", "\nheaders0 AS (", 1).replace("\nproducts AS (", "\n" + _LATER, 1)
+
+
+for name in ("order_summary", "monthly_performance", "subcategory_performance", "customer_performance", "geographic_performance",
+             "product_performance", "segment_performance", "ship_mode_performance", "category_performance", "business_overview"):
+    SQL[f"view_{name}_refreshed"] = after_changes(VIEW_SQL[f"view_{name}"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ventaria.functions.expressions import all_of, dbl, ratio
 from ventaria.operators.scalars import attach
+from ventaria.session import settle
 
 OK, REVIEW = "OK", "REVISAR"  # fixed values: published states
 
@@ -61,22 +62,23 @@ def unmatched(source: DataFrame, target: DataFrame, keys: list[str], agree: list
 
 
 def levels_against_total(orders: DataFrame, levels: dict[str, list[str]], level_name: str, groups_name: str) -> DataFrame:
-    """Sum every level of grouping and set it against the grand total."""
-    def measures(df: DataFrame, first: bool) -> list[Column]:
-        n = F.count(F.lit(1)) if first else F.sum("total_orders")
-        return [n.alias("total_orders"), *[F.sum(m).alias(m) for m in
-                ("total_order_lines", "total_sales", "total_quantity", "total_profit")]]
-
-    rows = []
-    for name, keys in levels.items():
-        grouped = orders.groupBy(*keys).agg(*measures(orders, True))
-        rows.append(grouped.agg(F.count(F.lit(1)).alias(groups_name), *measures(grouped, False))
-                    .select(F.lit(name).alias(level_name), "*"))
-    total = orders.agg(*measures(orders, True)).select(
-        F.col("total_orders").alias("global_orders"), F.col("total_order_lines").alias("global_order_lines"),
-        F.col("total_sales").alias("global_sales"), F.col("total_quantity").alias("global_quantity"),
-        F.col("total_profit").alias("global_profit"))
-    both = attach(reduce(DataFrame.unionByName, rows), total)
+    """Sum every level of grouping and set it against the grand total, in one pass over the orders.
+
+    The orders are folded once to one row per combination of the levels' keys;
+    GROUPING SETS over that small cube give all levels and the total.
+    """
+    measures = ("total_orders", "total_order_lines", "total_sales", "total_quantity", "total_profit")
+    keys = list(dict.fromkeys(k for level in levels.values() for k in level))
+    cube = orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_orders"), *[F.sum(m).alias(m) for m in measures[1:]])
+    sets = [[F.col(k) for k in level] for level in [*levels.values(), []]]
+    grouped = cube.groupingSets(sets, *keys).agg(F.grouping_id(*keys).alias("_set"), *[F.sum(m).alias(m) for m in measures])
+    bits = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in level) for name, level in levels.items()}
+    whole = (1 << len(keys)) - 1
+    per_set = settle(grouped.groupBy("_set").agg(F.count(F.lit(1)).alias(groups_name), *[F.sum(m).alias(m) for m in measures]))
+    names = F.create_map(*[F.lit(x) for name, b in bits.items() for x in (b, name)])
+    shown = per_set.where(F.col("_set") != whole).select(names[F.col("_set").cast("int")].alias(level_name), groups_name, *measures)
+    total = per_set.where(F.col("_set") == whole).select(*[F.col(m).alias(m.replace("total_", "global_")) for m in measures])
+    both = attach(shown, total)
     out = [F.col(level_name), F.col(groups_name)]
     for own, other, diff in (
         ("total_orders", "global_orders", "order_difference"),

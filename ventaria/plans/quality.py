@@ -15,7 +15,8 @@ from ventaria.operators.reconcile import (
 from ventaria.operators.scalars import attach
 from ventaria.session import checkpoint_folder, settle, stage_key
 from ventaria.sources.sales_text import COLUMNS, CORRUPT, raw_sales, read_raw_csv
-from ventaria.sources.staging import only_new
+from ventaria.sources.staging import contradictory, load_check, only_new
+from ventaria.sources.tpch import read_table
 
 ALL = list(COLUMNS)
 
@@ -31,14 +32,14 @@ class Sheets:
 
     _open: dict[tuple, "Sheets"] = {}
 
-    def __init__(self, raw: DataFrame):
-        self._raw = raw
+    def __init__(self, raw: DataFrame, folder: str | None = None):
+        self._raw, self.folder = raw, folder
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str) -> "Sheets":
         key = stage_key(spark, folder)
         if key not in cls._open:
-            cls._open[key] = cls(raw_sales(spark, folder))
+            cls._open[key] = cls(raw_sales(spark, folder), folder)
         return cls._open[key]
 
     @cached_property
@@ -171,6 +172,38 @@ def measures_recoverable(s: Sheets) -> DataFrame:
     return rows.agg(F.count_if(F.expr(C.SALES_FOUND)).alias("sales_recoverable"), F.count_if(F.expr(C.QUANTITY_FOUND)).alias("quantity_recoverable"))
 
 
+def ship_mode_recoverable_rows(s: Sheets, n: int | None = None) -> DataFrame:
+    """Rows whose unknown shipping mode the other lines of the order tell."""
+    known = C.single_value(s.tidy, "order_id", "ship_mode")
+    value = [c for c in known.columns if c != "_k"][0]
+    rows = s.tidy.where("ship_mode IS NULL").join(known, F.col("order_id") == F.col("_k"))
+    return first(rows.select("row_id", "order_id", F.col(value).alias("ship_mode_found")).orderBy("row_id"), n)
+
+
+def sales_recoverable_rows(s: Sheets, n: int | None = None) -> DataFrame:
+    """Rows whose unknown sales follow from quantity and unit price."""
+    rows = C.with_lookup(s.tidy.where("sales IS NULL"), C.unit_prices(s.tidy)).where(C.SALES_FOUND)
+    found = F.expr("double(CAST(try_cast(quantity AS DECIMAL(12,6)) * unit_price AS DECIMAL(20,6)))")
+    return first(rows.select("row_id", "product_id", "discount", "quantity", F.col("sales").alias("sales_original"), found.alias("sales_computed")).orderBy("row_id"), n)
+
+
+def quantity_recoverable_rows(s: Sheets, n: int | None = None) -> DataFrame:
+    """Rows whose unknown quantity is a whole quotient of sales and unit price."""
+    rows = C.with_lookup(s.tidy.where("quantity IS NULL"), C.unit_prices(s.tidy)).where(C.QUANTITY_FOUND)
+    found = F.expr(f"bigint(round({C._number('sales')} / unit_price))")
+    return first(rows.select("row_id", "product_id", "discount", "sales", F.col("quantity").alias("quantity_original"), found.alias("quantity_computed")).orderBy("row_id"), n)
+
+
+def profit_recoverable_rows(s: Sheets, n: int | None = None) -> DataFrame:
+    """Rows whose unknown profit follows from sales and the usual margin, once sales are filled."""
+    prices = C.unit_prices(s.tidy)
+    filled = settle(C.only_where(s.tidy, "sales IS NULL OR quantity IS NULL", lambda r: C.fill_measures(r, prices)))
+    rows = C.with_lookup(filled.where("profit IS NULL"), C.unit_margins(filled)).where(C.PROFIT_FOUND)
+    found = F.expr(f"double(CAST(round({C._number('sales')} * margin, 6) AS DECIMAL(20,6)))")
+    return first(rows.select("row_id", "product_id", "discount", "sales", F.col("profit").alias("profit_original"), dbl("margin").alias("margin"),
+                             found.alias("profit_computed")).orderBy("row_id"), n)
+
+
 def profit_recoverable(s: Sheets) -> DataFrame:
     prices = C.unit_prices(s.tidy)
     rows = settle(C.only_where(s.tidy, "sales IS NULL OR quantity IS NULL", lambda r: C.fill_measures(r, prices)))
@@ -219,6 +252,22 @@ def customer_id_conflicts(s: Sheets) -> DataFrame:
     return _conflict_values(s.tidy, "customer_name", {"customer_id": "customer_ids"}, "total_rows").orderBy("customer_name")
 
 
+def customer_name_conflicts(s: Sheets) -> DataFrame:
+    return _conflict_values(s.tidy, "customer_id", {"customer_name": "names_found"}, "total_rows").orderBy("customer_id")
+
+
+def customer_segment_conflicts(s: Sheets) -> DataFrame:
+    return _conflict_values(s.tidy, "customer_id", {"segment": "segments_found"}, "total_rows").orderBy("customer_id")
+
+
+def product_category_conflicts(s: Sheets) -> DataFrame:
+    return _conflict_values(s.tidy, "product_id", {"category": "categories_found"}, "total_rows").orderBy("product_id")
+
+
+def product_sub_category_conflicts(s: Sheets) -> DataFrame:
+    return _conflict_values(s.tidy, "product_id", {"sub_category": "sub_categories_found"}, "total_rows").orderBy("product_id")
+
+
 def customer_id_conflicts_after(s: Sheets) -> DataFrame:
     """Must be zero once aliases are unified."""
     return P.fd_violations(s.text, {"names_with_several_customers": ("customer_name", "customer_id")})
@@ -385,6 +434,22 @@ def append_new_rows(s: Sheets) -> DataFrame:
     return only_new(s.raw, have, ["row_id"]).agg(n_rows("appended_rows"), F.count_distinct("row_id").alias("appended_keys"))
 
 
+def append_contradictions(s: Sheets) -> DataFrame:
+    """The same insert where every seventh row arrives a second time with another product name: one row of each key
+    enters, the others are set aside."""
+    have = s.raw.where("CAST(row_id AS BIGINT) % 3 = 0")
+    arriving = s.raw.unionByName(s.raw.where("CAST(row_id AS BIGINT) % 7 = 1").withColumn("product_name", F.concat("product_name", F.lit(" (2)"))))
+    added = only_new(arriving, have, ["row_id"]).agg(n_rows("appended_rows"), F.count_if(F.col("product_name").endswith(" (2)")).alias("second_rows"))
+    return attach(added, contradictory(arriving, have, ["row_id"]).agg(n_rows("set_aside"), F.count_distinct("row_id").alias("contradictory_keys")))
+
+
+def load_size(s: Sheets) -> DataFrame:
+    """Rows and columns of the load against the size that the source tables announce."""
+    lines = read_table(s.raw.sparkSession, s.folder, "lineitem")
+    sent = lines.agg(n_rows("lines"), F.count_if(F.expr("(l_orderkey * 7 + l_linenumber) % 20 = 0")).alias("again")).first()
+    return load_check(s.raw, sent["lines"] + sent["again"], len(COLUMNS))
+
+
 def model_conflicts(s: Sheets) -> DataFrame:
     """Rows kept out of the model because their key has several values."""
     rules = F.explode(F.filter("broken_rules", lambda r: r.isin(*C.MODEL_KEYS)))
@@ -463,6 +528,39 @@ def order_listing(s: Sheets, n: int | None = None) -> DataFrame:
             .select("order_key", "source_order_id", "order_date", "ship_date", "customer_name", "city", "state", "ship_mode_name"))
 
 
+def lookup_listing(s: Sheets) -> DataFrame:
+    """Every row of the four lookups and the sizes they have."""
+    rows = []
+    for table, key, name in (("segments", "segment_id", "segment_name"), ("ship_modes", "ship_mode_id", "ship_mode_name"),
+                             ("regions", "region_id", "region_name"), ("categories", "category_id", "category_name")):
+        df = getattr(s.model, table)
+        rows.append(attach(df.select(F.lit(table).alias("lookup"), F.col(key).cast("long").alias("id"), F.col(name).alias("name")), df.agg(n_rows("lookup_rows"))))
+    return stack_controls(rows).orderBy("lookup", "id")
+
+
+def sub_category_listing(s: Sheets) -> DataFrame:
+    rows = s.model.sub_categories.join(s.model.categories, "category_id")
+    return rows.select("sub_category_id", "category_name", "sub_category_name").orderBy("category_name", "sub_category_name")
+
+
+def location_listing(s: Sheets, n: int | None = None) -> DataFrame:
+    rows = s.model.locations.join(s.model.regions, "region_id").select("location_id", "country", "state", "city", "postal_code", "region_name")
+    return first(rows.orderBy("country", "state", "city", "postal_code", "location_id"), n)
+
+
+def customer_listing(s: Sheets, n: int | None = None) -> DataFrame:
+    rows = s.model.customers.join(s.model.segments, "segment_id").select("customer_id", "customer_name", "segment_name")
+    return first(rows.orderBy("customer_name", "customer_id"), n)
+
+
+def detail_listing(s: Sheets, n: int | None = None) -> DataFrame:
+    """Order details beside the names of their order and product."""
+    m = s.model
+    rows = m.order_details if n is None else first(m.order_details.orderBy("order_detail_key"), n)
+    rows = rows.join(m.orders.select("order_key", "source_order_id", "customer_id"), "order_key").join(m.products.select("product_key", "product_name"), "product_key")
+    return doubles(rows.select("order_detail_key", "source_row_id", "source_order_id", "customer_id", "product_name", "sales", "quantity", "discount", "profit"))
+
+
 def unmatched_rows(s: Sheets) -> DataFrame:
     """Clean rows without their model row, per entity; all must be zero."""
     kinds, places, people, goods, orders = _named(s)
@@ -601,5 +699,7 @@ REPORTS = {
         reused_product_summary, order_consistency, order_consistency_list, inconsistent_orders, inconsistent_order_lines, alias_history,
         key_check, postal_conflicts, postal_drilldown, postal_customers, domain_check, quality_scorecard, cleaned_text, clean_sales,
         quarantine, load_counts, rejected_casts, corrupt_records, append_new_rows, model_conflicts, load_nulls, load_sums, clean_rules, clean_uniqueness, clean_ranges, model_counts, product_listing,
-        order_listing, unmatched_rows, model_control, model_references, model_unique_keys, model_business_rules, model_unknowns, model_measures)},
+        order_listing, lookup_listing, sub_category_listing, location_listing, customer_listing, detail_listing, append_contradictions, load_size,
+        customer_name_conflicts, customer_segment_conflicts, product_category_conflicts, product_sub_category_conflicts,
+        ship_mode_recoverable_rows, sales_recoverable_rows, quantity_recoverable_rows, profit_recoverable_rows, unmatched_rows, model_control, model_references, model_unique_keys, model_business_rules, model_unknowns, model_measures)},
 }

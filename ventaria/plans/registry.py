@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ventaria.functions.present import present
 from ventaria.operators.reconcile import doubles
-from ventaria.plans import audit, business, category, customer, display, geography, logistics, period, product, quality, views
+from ventaria.plans import audit, business, category, customer, display, geography, logistics, period, product, quality, refreshed, views
 from ventaria.plans.book import Book
 from ventaria.plans.layouts import VIEWS
 
@@ -40,6 +40,10 @@ def _from_snapshots(build) -> Query:
     return lambda spark, folder: build(audit.Snapshots.open(spark, folder))
 
 
+def _from_refreshed(build) -> Query:
+    return lambda spark, folder: build(refreshed.Refreshed.open(spark, folder))
+
+
 def _view(name: str, build: Callable[[Book], DataFrame]) -> Query:
     return lambda spark, folder: present(build(Book.open(spark, folder)), VIEWS[name])
 
@@ -51,7 +55,8 @@ def all_queries() -> dict[str, Query]:
         out.update({name: _from_book(f) for name, f in module.REPORTS.items()})
     out.update({name: _from_sheets(f) for name, f in quality.REPORTS.items()})
     out.update({name: _from_snapshots(f) for name, f in audit.REPORTS.items()})
+    out.update({name: _from_refreshed(f) for name, f in refreshed.REPORTS.items()})
     return out
 
 
-MODULES = [display, business, category, product, customer, display, geography, logistics, period]
+MODULES = [business, category, product, customer, display, geography, logistics, period]

@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ventaria.functions.expressions import all_of
 
 
 def reload_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a table as a whole; running it again gives the same table."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Replace a table as a whole; running it again gives the same table.
+
+    The new rows are written beside the table and take its place only when all
+    are there: a reload that fails leaves the old table, and ``df`` may read the
+    table it replaces. The exchange is two renames, each atomic on a file system
+    such as HDFS; should the second fail, the old table is put back.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    old, fresh, aside = folder(path), folder(f"{path.rstrip('/')}__new_{mark}"), folder(f"{path.rstrip('/')}__old_{mark}")
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        writer = df.write
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh.toString())
+        had = files.exists(old)
+        if had and not files.rename(old, aside):
+            raise OSError(f"cannot move {path} aside")
+        if not files.rename(fresh, old):
+            if had:
+                files.rename(aside, old)
+            raise OSError(f"cannot put the new table at {path}")
+        if had:
+            files.delete(aside, True)
+    finally:
+        files.delete(fresh, True)
 
 
 def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -18,16 +42,40 @@ def read_table(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return reader.parquet(path)
 
 
-def only_new(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct candidates whose key is not yet present (NULL keys compare as equal)."""
+def missing_rows(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Candidates whose key is not yet present (NULL keys compare as equal)."""
     known = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys])
     same = all_of([F.col(k).eqNullSafe(F.col(f"_e_{k}")) for k in keys])
-    return candidates.distinct().join(known, same, "left_anti")
+    return candidates.join(known, same, "left_anti")
+
+
+def only_new(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key that is not yet present: the least of its rows, folded per task before they move."""
+    others = [c for c in candidates.columns if c not in keys]
+    folded = candidates.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")) if others else candidates.distinct()
+    return missing_rows(folded, existing, keys).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in candidates.columns])
+
+
+def contradictory(candidates: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct candidates of new keys that differ from the row :func:`only_new` takes."""
+    others = [c for c in candidates.columns if c not in keys]
+    if not others:
+        return candidates.where("false")
+    distinct = missing_rows(candidates.distinct(), existing, keys)
+    least = candidates.groupBy(*[F.col(k).alias(f"_l_{k}") for k in keys]).agg(F.min(F.struct(*others)).alias("_row"))
+    same = all_of([F.col(k).eqNullSafe(F.col(f"_l_{k}")) for k in keys])
+    return distinct.join(least, same & ~F.struct(*others).eqNullSafe(F.col("_row")), "left_semi")
+
+
+def refused_rows(path: str) -> str:
+    """Where rows that contradict an appended one are kept."""
+    return f"{path.rstrip('/')}_contradictory"
 
 
 def append_new(candidates: DataFrame, path: str, keys: list[str]) -> None:
-    """Insert only the rows that are missing."""
+    """Insert only the rows that are missing; of different rows with one new key the others go to the side table."""
     existing = candidates.sparkSession.read.schema(candidates.schema).parquet(path)
+    contradictory(candidates, existing, keys).write.mode("append").parquet(refused_rows(path))
     only_new(candidates, existing, keys).write.mode("append").parquet(path)
 
 
