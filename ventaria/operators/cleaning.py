@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ventaria.functions.expressions import all_of, any_of
+from ventaria.operators.heavy import join_lookup
 from ventaria.operators.profiling import ISO_DATE
 from ventaria.session import settle
 from ventaria.sources.sales_text import COLUMNS, CORRUPT
@@ -164,8 +165,7 @@ def alias_map(df: DataFrame, name: str = "customer_name", ident: str = "customer
 def replace_by_map(df: DataFrame, column: str, mapping: DataFrame, value: str, match: dict[str, str]) -> DataFrame:
     """Overwrite ``column`` by ``value`` of the mapping row that agrees on
     ``match`` ({column: mapping column}); the mapping has one row per key."""
-    same = all_of([F.col(c) == F.col(m) for c, m in match.items()])
-    joined = df.join(mapping, same, "left")
+    joined = join_lookup(df, mapping, match)
     return joined.withColumn(column, F.coalesce(F.col(value), F.col(column))).select(*df.columns)
 
 
@@ -282,12 +282,16 @@ def conflicting_keys(rows: DataFrame, keys: list[str], attributes: list[str]) ->
 
 
 def mark_conflicts(judged: DataFrame, name: str) -> DataFrame:
-    """Rows that break no rule by themselves but would give one model key two rows."""
+    """Rows that break no rule by themselves but would give one model key two rows.
+
+    Keys are judged from their own columns, and ``judged`` is written, so the wide
+    rows meet the conflicting keys only; a heavy key does not gather in one task.
+    """
     good, rest = judged.where(F.size(name) == 0), judged.where(F.size(name) > 0)
     out = good
     for rule, (keys, attributes) in MODEL_KEYS.items():
         bad = conflicting_keys(good, keys, attributes).select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.lit(rule).alias("_rule"))
-        out = out.join(bad, all_of([F.col(k) == F.col(f"_c_{k}") for k in keys]), "left").withColumn(
+        out = join_lookup(out, bad, {k: f"_c_{k}" for k in keys}).withColumn(
             name, F.array_compact(F.array_append(name, F.col("_rule")))).select(*judged.columns)
     return out.unionByName(rest)
 
