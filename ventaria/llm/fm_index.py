@@ -15,6 +15,8 @@ Shards are sized by the number of candidates, not by the machine. Defined
 results: null and empty texts have no words; rows that repeat an id and its text
 are one document; rows with a null id are kept whole and are no source; other
 columns are ignored. Words are compared by 64-bit hashes.
+Two texts of one id are two documents, in the order of the id and then of a hash
+of the text. An empty table gives an empty result.
 """
 
 from __future__ import annotations

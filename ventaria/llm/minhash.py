@@ -23,6 +23,8 @@ Defined results: null, empty and blank texts have no shingles and are alone;
 texts of fewer words than a shingle have one shingle, the whole sequence;
 repeated rows are copies; a row without an id gets the component of its set and
 no verdict, and is no member itself; other columns are ignored.
+Two texts of one id are two documents, in the order of the id and then of a hash
+of the text. An empty table gives an empty result.
 """
 
 from __future__ import annotations
