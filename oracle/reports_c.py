@@ -297,6 +297,28 @@ SQL["unmatched_rows"] = q("model", " UNION ALL ".join(f"SELECT '{n}' AS entity,
     "orders": "SELECT 1 FROM ord o JOIN placed p USING (location_id) LEFT JOIN ship_modes sm USING (ship_mode_id) WHERE o.source_order_id = c.order_id AND o.customer_id = c.customer_id AND p.region = c.region AND p.country = c.country AND p.state = c.state AND p.city = c.city AND p.postal_code = c.postal_code AND o.order_date = c.order_date AND o.ship_date = c.ship_date AND sm.ship_mode_name IS NOT DISTINCT FROM c.ship_mode",
     "order_details": "SELECT 1 FROM order_details x WHERE x.source_row_id = c.row_id"}.items()))
 
+_REBUILT = """rebuilt AS (SELECT x.source_row_id AS row_id, o.source_order_id AS order_id, o.order_date, o.ship_date, sm.ship_mode_name AS ship_mode, u.customer_id, u.customer_name,
+    g.segment_name AS segment, p.country, p.city, p.state, p.postal_code, p.region, r.source_product_id AS product_id, k.category_name AS category,
+    b.sub_category_name AS sub_category, r.product_name, x.sales, x.quantity, x.discount, x.profit
+    FROM order_details x JOIN ord o USING (order_key) JOIN customers u USING (customer_id) JOIN segments g USING (segment_id) JOIN placed p USING (location_id)
+    LEFT JOIN ship_modes sm USING (ship_mode_id) JOIN products r USING (product_key) JOIN sub_categories b USING (sub_category_id) JOIN categories k USING (category_id))"""
+_COPY = """copied AS (SELECT * REPLACE (CASE WHEN row_id % 1009 = 7 THEN sales + 0.01 ELSE sales END AS sales, CASE WHEN row_id % 1013 <> 11 THEN profit END AS profit)
+    FROM (SELECT * FROM clean WHERE row_id % 997 <> 5 UNION ALL SELECT * FROM clean WHERE row_id % 1019 = 13))"""
+
+
+def both_ways(other: str) -> tuple[str, ...]:
+    """Rows by which two tables differ as multisets, counted by key."""
+    cols = ", ".join(COLS)
+    sides = (("lost", "clean", other), ("extra", other, "clean"))
+    return (*[f"{n} AS (SELECT row_id, COUNT(*) AS n FROM (SELECT {cols} FROM {a} EXCEPT ALL SELECT {cols} FROM {b}) GROUP BY row_id)" for n, a, b in sides],
+            "named AS (SELECT row_id, COALESCE(l.n, 0) AS missing_rows, COALESCE(e.n, 0) AS surplus_rows, CASE WHEN e.n IS NULL THEN 'missing' WHEN l.n IS NULL THEN 'surplus' ELSE 'changed' END AS difference FROM lost l FULL JOIN extra e USING (row_id))")
+
+
+SQL["copy_differences"] = q("clean", "SELECT * FROM named", _COPY, *both_ways("copied"))
+SQL["model_row_differences"] = q("model", "SELECT *, CASE WHEN missing_keys + surplus_keys + changed_keys = 0 THEN 'OK' ELSE 'REVISAR' END AS status FROM (SELECT "
+    + ", ".join(f"(SELECT COUNT(*) FROM named WHERE difference = '{k}') AS {k}_keys" for k in ("missing", "surplus", "changed"))
+    + ", (SELECT COUNT(*) FROM clean) AS clean_rows, (SELECT COUNT(*) FROM order_details) AS model_rows)", _REBUILT, *both_ways("rebuilt"))
+
 
 def counted(rows: dict[str, str], value: str) -> str:
     inner = " UNION ALL ".join(f"SELECT '{n}' AS control, ({t}) AS {value}" for n, t in rows.items())
