@@ -15,6 +15,7 @@ from ventaria.functions.measures import line_rollup, order_rollup
 from ventaria.functions.present import present
 from ventaria.operators.ordering import dense_ranks, first_rows, small_ranks, small_share
 from ventaria.operators.scalars import attach, scalar_fields
+from ventaria.operators.selection import ranks_of
 from ventaria.plans.book import Book, narrow
 from ventaria.plans.category import _products_per
 from ventaria.plans.layouts import PERIOD as LAYOUT
@@ -104,10 +105,10 @@ def period_top_products(book: Book, start: Day = None, end: Day = None, n: int |
     df = settle(narrow(df, "product_key", "total_orders", "distinct_customers", "total_order_lines", "total_sales", "total_quantity",
                 "total_profit", "average_line_discount", "comparable_profit_margin_percentage", "loss_making_lines",
                 "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines"))
-    ranks = dense_ranks(df.select("product_key", "total_profit", "comparable_profit_margin_percentage"), "product_key", {
-        "profit_rank": "total_profit desc", "margin_rank": "comparable_profit_margin_percentage desc"})
-    df = first_rows(df, "total_sales desc, total_profit desc, product_key", n, "sales_position")
-    df = df.join(ranks.select("product_key", "profit_rank", "margin_rank"), "product_key").join(book.star.products, "product_key")
+    top = settle(first_rows(df, "total_sales desc, total_profit desc, product_key", n, "sales_position"))
+    df = ranks_of(top, df, "product_key", {
+        "profit_rank": "total_profit desc", "margin_rank": "comparable_profit_margin_percentage desc"}, n)
+    df = df.join(book.star.products, "product_key")
     df = df.select("*", (F.col("profit_rank") - F.col("sales_position")).alias("sales_profit_rank_gap"))
     return present(period.stamp(df).orderBy("sales_position"), LAYOUT["period_top_products"])
 
@@ -121,12 +122,11 @@ def period_top_customers(book: Book, start: Day = None, end: Day = None, n: int
                        "total_profit", "average_complete_order_value", "comparable_profit_margin_percentage",
                        "average_shipping_days", "complete_loss_making_orders", "orders_with_unknown_profit",
                        "unknown_sales_lines", "unknown_quantity_lines", "unknown_profit_lines"))
-    df = attach(df, df.agg(F.sum("total_sales").alias("_all")))
-    df = df.select("*", pct("total_sales", "_all").alias("sales_share_percentage"))
     wanted = {"profit_rank": "total_profit desc", "order_frequency_rank": "total_orders desc",
               "average_order_value_rank": "average_complete_order_value desc", "margin_rank": "comparable_profit_margin_percentage desc"}
-    ranks = dense_ranks(df.select("customer_id", *[order.split()[0] for order in wanted.values()]), "customer_id", wanted)
-    df = first_rows(df, "total_sales desc, total_profit desc, customer_id", n, "sales_position").join(ranks.select("customer_id", *wanted), "customer_id")
+    top = settle(first_rows(df, "total_sales desc, total_profit desc, customer_id", n, "sales_position"))
+    top = attach(ranks_of(top, df, "customer_id", wanted, n), df.agg(F.sum("total_sales").alias("_all")))
+    df = top.select("*", pct("total_sales", "_all").alias("sales_share_percentage"))
     df = df.select("*", (F.col("profit_rank") - F.col("sales_position")).alias("sales_profit_rank_gap"))
     return present(period.stamp(df).orderBy("sales_position"), LAYOUT["period_top_customers"])
 
