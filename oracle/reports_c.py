@@ -252,6 +252,9 @@ SQL["load_nulls"] = q("clean", "SELECT " + ", ".join(f"a.{c}_null AS {c}_null_st
 SQL["rejected_casts"] = q("text", " UNION ALL ".join(f"SELECT row_id, order_id, '{c}' AS measure, {c} AS found FROM txt WHERE {t}" for c, t in LOST.items()))
 _SPOILT = "CAST(row_id AS BIGINT) % 1009 = 3"
 SQL["corrupt_records"] = q("raw", f"SELECT COUNT(*) AS total_records, {n_if(_SPOILT)} AS corrupt_records, {n_if('NOT ' + _SPOILT)} AS readable_records, {d('SUM(' + num('sales') + f') FILTER (NOT {_SPOILT})')} AS readable_sales FROM raw")
+_BROKEN_UP = "CAST(row_id AS BIGINT) % 7 = 3"
+SQL["line_break_records"] = q("raw", f"SELECT COUNT(*) AS total_records, {n_if(_BROKEN_UP)} AS records_with_line_breaks, CAST(0 AS BIGINT) AS corrupt_records, "
+    f"CAST(SUM(LENGTH(product_name) + CASE WHEN {_BROKEN_UP} THEN LENGTH(category) + 6 ELSE 0 END) AS BIGINT) AS name_characters, {d('SUM(' + num('sales') + ')')} AS readable_sales FROM raw")
 _NEW = "CAST(row_id AS BIGINT) % 3 <> 0"
 SQL["append_new_rows"] = q("raw", f"SELECT COUNT(DISTINCT CASE WHEN {_NEW} THEN row_id END) AS appended_rows, COUNT(DISTINCT CASE WHEN {_NEW} THEN row_id END) AS appended_keys FROM (SELECT DISTINCT * FROM raw)")
 _OTHERS = ", ".join(c for c in COLS if c != "row_id")

@@ -16,7 +16,7 @@ from ventaria.operators.reconcile import (
 from ventaria.operators.scalars import attach
 from ventaria.plans.views import sales_detail
 from ventaria.session import checkpoint_folder, settle, stage_key
-from ventaria.sources.sales_text import COLUMNS, CORRUPT, raw_sales, read_raw_csv
+from ventaria.sources.sales_text import COLUMNS, CORRUPT, raw_sales, read_quoted_csv, read_raw_csv
 from ventaria.sources.staging import contradictory, load_check, only_new
 from ventaria.sources.tpch import read_table
 
@@ -430,6 +430,20 @@ def corrupt_records(s: Sheets) -> DataFrame:
         F.sum(F.when(~broken, _n("sales"))).alias("readable_sales")))
 
 
+def line_break_records(s: Sheets) -> DataFrame:
+    """The raw extract written as CSV, product names of every seventh row broken over lines, and read back by many tasks."""
+    spark = s.raw.sparkSession
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    keep = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+    broken_up = F.when(F.expr("CAST(row_id AS BIGINT) % 7 = 3"), F.concat("product_name", F.lit('\n"'), "category", F.lit('",\r\n')))
+    rows = s.raw.withColumn("product_name", F.coalesce(broken_up, "product_name"))
+    rows.select(F.to_csv(F.struct(*ALL), keep)).write.text(path)
+    return doubles(read_quoted_csv(spark, path, header=False).agg(
+        n_rows("total_records"), F.count_if(F.contains("product_name", F.lit("\n"))).alias("records_with_line_breaks"),
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_records"), F.sum(F.length("product_name")).alias("name_characters"),
+        F.sum(_n("sales")).alias("readable_sales")))
+
+
 def append_new_rows(s: Sheets) -> DataFrame:
     """What an insert of the missing rows adds to a table that has every third row already."""
     have = s.raw.where("CAST(row_id AS BIGINT) % 3 = 0")
@@ -725,7 +739,7 @@ REPORTS = {
         dependency_violations, product_name_conflicts, customer_id_conflicts, customer_id_conflicts_after, reused_product_detail,
         reused_product_summary, order_consistency, order_consistency_list, inconsistent_orders, inconsistent_order_lines, alias_history,
         key_check, postal_conflicts, postal_drilldown, postal_customers, domain_check, quality_scorecard, cleaned_text, clean_sales,
-        quarantine, load_counts, rejected_casts, corrupt_records, append_new_rows, model_conflicts, load_nulls, load_sums, clean_rules, clean_uniqueness, clean_ranges, model_counts, product_listing,
+        quarantine, load_counts, rejected_casts, corrupt_records, line_break_records, append_new_rows, model_conflicts, load_nulls, load_sums, clean_rules, clean_uniqueness, clean_ranges, model_counts, product_listing,
         order_listing, lookup_listing, sub_category_listing, location_listing, customer_listing, detail_listing, append_contradictions, load_size,
         customer_name_conflicts, customer_segment_conflicts, product_category_conflicts, product_sub_category_conflicts,
         ship_mode_recoverable_rows, sales_recoverable_rows, quantity_recoverable_rows, profit_recoverable_rows, unmatched_rows, model_row_differences, copy_differences, model_control, model_references, model_unique_keys, model_business_rules, model_unknowns, model_measures)},

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ventaria.sources.quoted_lines import quoted_records
 from ventaria.sources.tpch import CITIES_PER_COUNTRY, SHIP_MODE_OF_PRIORITY, STATES_PER_COUNTRY, _on, read_table
 
 COLUMNS = (
@@ -21,12 +22,21 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False, heade
     """CSV; every column stays text, broken records keep their text and are rejected by the load.
 
     ``multi_line`` is only for files with line breaks inside quotes: such files
-    cannot be split, so one file is then read by one task.
+    cannot be split, so one file is then read by one task (``read_quoted_csv`` reads them by many).
     """
     return (spark.read.options(**_CSV).option("multiLine", str(multi_line).lower()).option("header", str(header).lower())
             .schema(f"{SCHEMA}, {CORRUPT} STRING").csv(path))
 
 
+def read_quoted_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """The rows of ``read_raw_csv`` with ``multi_line``, but a large file is read by many tasks."""
+    records = quoted_records(spark, path)
+    if header:
+        records = records.where("NOT (_block = 0 AND _at = 0)")
+    options = {k: v for k, v in _CSV.items() if k not in ("header", "columnPruning")} | {"multiLine": "true"}
+    return records.select(F.from_csv("record", f"{SCHEMA}, {CORRUPT} STRING", options).alias("r")).select("r.*")
+
+
 def stream_raw_csv(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     """The same reader over a folder that new files keep arriving in."""
     return (spark.readStream.options(**_CSV).option("maxFilesPerTrigger", files_per_batch)
