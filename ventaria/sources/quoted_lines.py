@@ -99,7 +99,8 @@ def quoted_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), "value")
     outside, inside = outcomes(F.col("value"))
     lines = settle(lines.select("*", outside.alias("_f0"), inside.alias("_f1")).mapInArrow(_follow, _LINES))
-    lines = lines.join(_range_starts(lines), ["_file", "_block"])
+    starts = settle(_range_starts(lines))  # its size is then known: small ones are broadcast, and no line is moved
+    lines = lines.join(starts, ["_file", "_block"])
     real = {c: F.when(F.col("_state") == 0, F.col(f"{c}0")).otherwise(F.col(f"{c}1")) for c in ("before", "after", "start")}
     begun = F.when(real["start"] >= 0, F.struct(F.col("_block").alias("block"), real["start"].alias("at"))).otherwise(F.col("_open"))
     lines = lines.select("_file", "_block", "_at", "value", ((real["before"] == 0) & (real["after"] == 0)).alias("_whole"), begun.alias("_record"))
