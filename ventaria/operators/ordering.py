@@ -101,7 +101,8 @@ def number_rows(
     )
     match = all_of([F.col(SLICE) == F.col("_slice0")]
                    + [F.col(p).eqNullSafe(F.col(f"_key{i}")) for i, p in enumerate(parts)])
-    joined = numbered.join(F.broadcast(carried), match, "left")
+    # A value carried forward may be a long text: then the rows are written, and their size decides how they are joined.
+    joined = numbered.join(settle(carried) if previous else F.broadcast(carried), match, "left")
 
     row_number = F.col("_n") + F.coalesce(F.col("_n0"), F.lit(0))
     added = []
