@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ventaria.operators import cleaning as C
 from ventaria.operators.heavy import join_lookup
 from ventaria.plans.quality import Sheets
+from ventaria.plans.refreshed import Refreshed
 from ventaria.session import by_key, parted_by_one, settle_by
 from ventaria.sources.sales_text import COLUMNS
+from ventaria.sources.staging import arrivals, contradictory, only_new
 
 
 def exchanges(df) -> int:
@@ -64,3 +66,26 @@ def test_the_sheets_lie_in_buckets_of_their_order(spark, small):
     sheets = Sheets.open(spark, small)
     for rows in (sheets.tidy, sheets.text, sheets.judged):
         assert exchanges(rows.groupBy("order_id", "customer_id").agg(F.count(F.lit(1)))) == 0
+
+
+ARRIVING = [(1, "z", None), (2, "c", 1), (2, "b", 2), (2, "c", 1), (None, "n", 1), (None, "m", 1), (3, None, 1), (3, "q", 1), (4, "x", 5), (4, "x", 5)]
+
+
+@pytest.mark.parametrize("have", [[], [(1, "a", 1)], [(None, "a", 1), (4, "y", None)]])
+def test_arrivals_are_the_new_rows_and_the_contradictory_ones(spark, have):
+    schema = "k int, v string, w int"
+    arriving, existing = spark.createDataFrame(ARRIVING, schema), spark.createDataFrame(have, schema)
+    found = arrivals(arriving, existing, ["k"])
+    assert told(found.where("_taken").drop("_taken")) == told(only_new(arriving, existing, ["k"]))
+    assert told(found.where("NOT _taken").drop("_taken")) == told(contradictory(arriving, existing, ["k"]))
+
+
+def test_arriving_rows_move_once(spark):
+    arriving = spark.createDataFrame(ARRIVING, "k int, v string, w int")
+    assert exchanges(arrivals(arriving, arriving.where("k = 1"), ["k"]).groupBy("k").agg(F.count_if("_taken"))) == 1
+
+
+def test_cells_and_headers_of_the_refreshed_views_lie_in_buckets_of_their_order(spark, small):
+    r = Refreshed.open(spark, small)
+    for rows in (r.cells, r.headers, r.orders, *r._touched):
+        assert exchanges(rows.groupBy("order_key").agg(F.count(F.lit(1)))) == 0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ventaria.functions.expressions import all_of
 
@@ -67,6 +67,17 @@ def contradictory(candidates: DataFrame, existing: DataFrame, keys: list[str]) -
     return distinct.join(least, same & ~F.struct(*others).eqNullSafe(F.col("_row")), "left_semi")
 
 
+def arrivals(candidates: DataFrame, existing: DataFrame, keys: list[str], taken: str = "_taken") -> DataFrame:
+    """The rows of :func:`only_new` and of :func:`contradictory` together, ``taken`` telling them apart; the candidates move once."""
+    others = [c for c in candidates.columns if c not in keys]
+    if not others:
+        return only_new(candidates, existing, keys).withColumn(taken, F.lit(True))
+    marked = candidates.withColumn("_known", F.lit(False)).unionByName(existing.select(*keys).withColumn("_known", F.lit(True)), allowMissingColumns=True)
+    alike, row = Window.partitionBy(*keys), F.struct(*others)
+    seen = marked.repartition(*keys).select("*", F.max("_known").over(alike).alias("_has"), F.min(F.when(~F.col("_known"), row)).over(alike).alias("_row"))
+    return seen.where("NOT _has").select(*candidates.columns, row.eqNullSafe(F.col("_row")).alias(taken)).distinct()
+
+
 def refused_rows(path: str) -> str:
     """Where rows that contradict an appended one are kept."""
     return f"{path.rstrip('/')}_contradictory"
