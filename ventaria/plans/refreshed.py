@@ -20,7 +20,7 @@ from ventaria.operators import refresh as R
 from ventaria.operators.scalars import attach
 from ventaria.plans.layouts import VIEWS
 from ventaria.plans.views import CUSTOMER, PLACE, dimension_sizes
-from ventaria.session import settle, stage_key
+from ventaria.session import by_key, settle, settle_by, stage_key
 from ventaria.sources.tpch import Star, read_star
 
 MOVED = 1_000_000_000_000  # key offset of added rows
@@ -103,7 +103,10 @@ def line_rows(cells: DataFrame, headers: DataFrame, products: DataFrame) -> Data
 
 
 class Refreshed:
-    """Stored views of a data set, a change log, and the views after it; each written once per session."""
+    """Stored views of a data set, a change log, and the views after it; each written once per session.
+
+    Cells, headers and what changes of them lie in buckets of their order, so folding
+    and joining by it moves none of them."""
 
     _open: dict[tuple, "Refreshed"] = {}
 
@@ -123,15 +126,15 @@ class Refreshed:
 
     @cached_property
     def cells(self) -> DataFrame:
-        return settle(CELLS.totals(self.star.lines.withColumn(R.SIGN, F.lit(1))))
+        return settle_by(CELLS.totals(by_key(self.star.lines, "order_key").withColumn(R.SIGN, F.lit(1))), "order_key")
 
     @cached_property
     def headers(self) -> DataFrame:
-        return settle(self.star.headers)
+        return settle_by(by_key(self.star.headers, "order_key"), "order_key")
 
     @cached_property
     def orders(self) -> DataFrame:
-        return settle(order_rows(self._known(self.cells), self.headers))
+        return settle_by(order_rows(self._known(self.cells), self.headers), "order_key")
 
     def _known(self, cells: DataFrame) -> DataFrame:
         return CELLS.view(cells, cells)
@@ -163,14 +166,14 @@ class Refreshed:
         """Touched orders, their cells before and after, their headers before and after."""
         kinds = lambda df: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
         lines = R.signed_images(self.line_log, kinds(self.later.lines))
-        heads = settle(R.signed_images(self.order_log, kinds(self.star.headers)))
-        change = settle(CELLS.totals(lines))
-        touched = settle(change.select("order_key").union(heads.select("order_key")).distinct())
+        heads = settle_by(by_key(R.signed_images(self.order_log, kinds(self.star.headers)), "order_key"), "order_key")
+        change = settle_by(CELLS.totals(by_key(lines, "order_key")), "order_key")
+        touched = settle_by(by_key(change.select("order_key").union(heads.select("order_key")), "order_key").distinct(), "order_key")
         before = self.cells.join(touched, "order_key", "left_semi")
         after = CELLS.merged(before, change, False)
         old = self.headers.join(touched, "order_key", "left_semi")
         new = old.join(heads.select("order_key").distinct(), "order_key", "left_anti").unionByName(heads.where(f"{R.SIGN} > 0").drop(R.SIGN))
-        return touched, settle(self._known(before)), settle(self._known(after)), settle(old), settle(new)
+        return (touched, *[settle_by(x, "order_key") for x in (self._known(before), self._known(after), old, new)])
 
     @cached_property
     def order_change(self) -> DataFrame:
