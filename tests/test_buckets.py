@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from ventaria.operators import cleaning as C
+from ventaria.operators import cleaning as C, profiling as P
 from ventaria.operators.heavy import join_lookup
 from ventaria.plans.quality import Sheets
 from ventaria.plans.refreshed import Refreshed
@@ -89,3 +89,12 @@ def test_cells_and_headers_of_the_refreshed_views_lie_in_buckets_of_their_order(
     r = Refreshed.open(spark, small)
     for rows in (r.cells, r.headers, r.orders, *r._touched):
         assert exchanges(rows.groupBy("order_key").agg(F.count(F.lit(1)))) == 0
+
+
+def test_conflicts_of_several_attributes_move_no_row_of_a_bucket(spark):
+    rows = [("a", "1", "x"), ("a", "2", None), ("b", "1", "x"), ("b", "1", None), ("c", None, "x"), ("c", None, "y"), ("c", "3", "z"), (None, "1", "x"), (None, "2", "y"), ("d", None, None)]
+    df = spark.createDataFrame(rows, "k string, u string, v string")
+    found = P.fd_conflicts(settle_by(by_key(df, "k"), "k"), ["k"], ["u", "v"])
+    assert told(found) == told(spark.createDataFrame([("a", 2, 1), ("c", 1, 3)], "k string, total_u long, total_v long"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("Expand")  # below: only conflicting keys are written several times

@@ -147,7 +147,7 @@ class Refreshed:
             totals = ledger.totals(rows)
             if name in LINE_VIEWS:
                 totals = self._with_orders(ledger, totals, rows)
-            totals, members = settle(totals), settle(ledger.members(rows))
+            totals, members = settle(totals, "zstd"), settle(ledger.members(rows), "zstd")
             self._stored[name] = R.Stored(self._counting(ledger, name), totals, members, settle(self._counting(ledger, name).view(totals, members)))
         return self._stored[name]
 
@@ -155,11 +155,11 @@ class Refreshed:
 
     @cached_property
     def line_log(self) -> DataFrame:
-        return settle(L.change_log(keyed_lines(self.star), self.later.lines, "line_key", "order_details", **RUN))
+        return settle(L.change_log(keyed_lines(self.star), self.later.lines, "line_key", "order_details", **RUN), "zstd")
 
     @cached_property
     def order_log(self) -> DataFrame:
-        return settle(L.change_log(self.star.headers, self.later.headers, "order_key", "orders", **RUN))
+        return settle(L.change_log(self.star.headers, self.later.headers, "order_key", "orders", **RUN), "zstd")
 
     @cached_property
     def _touched(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -178,12 +178,12 @@ class Refreshed:
     @cached_property
     def order_change(self) -> DataFrame:
         _, before, after, old, new = self._touched
-        return settle(R.signed(order_rows(before, old), order_rows(after, new)))
+        return settle(R.signed(order_rows(before, old), order_rows(after, new)), "zstd")
 
     @cached_property
     def line_change(self) -> DataFrame:
         _, before, after, old, new = self._touched
-        return settle(R.signed(line_rows(before, old, self.star.products), line_rows(after, new, self.star.products)))
+        return settle(R.signed(line_rows(before, old, self.star.products), line_rows(after, new, self.star.products)), "zstd")
 
     # ---- the views after them
 
