@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from ventaria.operators import cleaning as C, profiling as P
+from ventaria.operators import cleaning as C, heavy, profiling as P
 from ventaria.operators.heavy import join_lookup
 from ventaria.plans.quality import Sheets
 from ventaria.plans.refreshed import Refreshed
@@ -57,6 +57,16 @@ def test_a_large_lookup_comes_to_the_rows(spark, tidy, match):
     assert told(fetched) == told(join_lookup(tidy, lookup, match))
 
 
+def test_a_large_lookup_leaves_completed_rows_in_their_buckets(spark, tidy, monkeypatch):
+    monkeypatch.setattr(heavy, "bytes_of", lambda lookup: 1 << 40)
+    home = settle_by(by_key(tidy, "order_id"), "order_id")
+    maps = [(C.alias_map(df), C.usual_value(df, "postal_code", "city")) for df in (tidy, home)]
+    placed = C.replace_by_map(home.where("order_id IS NOT NULL"), "customer_id", maps[1][0], "_canonical", {"customer_name": "_name", "customer_id": "_alias"}, "order_id")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
+    assert told(C.complete_text(tidy, *maps[0])) == told(C.complete_text(home, *maps[1], "order_id"))
+
+
 def test_a_group_of_buckets_moves_nothing(spark, tidy):
     home = settle_by(by_key(tidy, "order_id"), "order_id")
     assert exchanges(home.groupBy("order_id").agg(F.max("ship_mode"))) == 0
