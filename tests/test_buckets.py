@@ -10,7 +10,7 @@ from ventaria.operators.heavy import join_lookup
 from ventaria.plans.quality import Sheets
 from ventaria.plans.refreshed import Refreshed
 from ventaria.session import by_key, parted_by_one, settle_by
-from ventaria.sources.sales_text import COLUMNS
+from ventaria.sources.sales_text import COLUMNS, raw_sales
 from ventaria.sources.staging import arrivals, contradictory, only_new
 
 
@@ -108,3 +108,23 @@ def test_conflicts_of_several_attributes_move_no_row_of_a_bucket(spark):
     assert told(found) == told(spark.createDataFrame([("a", 2, 1), ("c", 1, 3)], "k string, total_u long, total_v long"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.index("LeftSemi") > plan.index("Expand")  # below: only conflicting keys are written several times
+
+
+def moved(df) -> list[tuple[str, str]]:
+    """Each exchange by hash, where no table is broadcast, and the step below it."""
+    df.sparkSession.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        df.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    return [(one, below) for one, below in zip(plan, plan[1:]) if "Exchange hashpartitioning" in one]
+
+
+def test_the_order_text_does_not_travel_with_the_lines(spark, small):
+    lines, = (below for _, below in moved(raw_sales(spark, small)) if "l_orderkey" in below and "p_name" in below)
+    assert "concat" not in lines
+
+
+def test_raw_lines_lie_where_their_order_is_grouped(spark, small):
+    found = [one for one, _ in moved(by_key(raw_sales(spark, small), "order_id").dropDuplicates())]
+    assert not any("order_id" in one for one in found) and sum("concat(OR-" in one for one in found) == 2
