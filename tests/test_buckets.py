@@ -128,3 +128,14 @@ def test_the_order_text_does_not_travel_with_the_lines(spark, small):
 def test_raw_lines_lie_where_their_order_is_grouped(spark, small):
     found = [one for one, _ in moved(by_key(raw_sales(spark, small), "order_id").dropDuplicates())]
     assert not any("order_id" in one for one in found) and sum("concat(OR-" in one for one in found) == 2
+
+
+CONFLICTS = [("a", "1", "x"), ("a", "1", None), ("b", "1", "x"), ("b", "1", "x"), ("c", None, None), ("c", None, None), (None, "1", "x"), (None, "2", "x"),
+             ("d", "1", "y"), ("d", "2", "y"), ("e", None, "x")]
+
+
+def test_conflicting_keys_are_counted_without_sorting_texts(spark):
+    df = spark.createDataFrame(CONFLICTS, "k string, u string, v string")
+    found = C.conflicting_keys(df, ["k"], ["u", "v"])
+    assert told(found) == told(spark.createDataFrame([("a",), (None,), ("d",)], "k string"))
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
