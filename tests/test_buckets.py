@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from ventaria.operators import cleaning as C, heavy, profiling as P
 from ventaria.operators.heavy import join_lookup
+from ventaria.operators.normalise import product_code, shared_codes, with_product
+from ventaria.operators.ordering import number_rows
 from ventaria.plans.quality import Sheets
 from ventaria.plans.refreshed import Refreshed
 from ventaria.session import by_key, parted_by_one, settle_by
@@ -139,3 +143,27 @@ def test_conflicting_keys_are_counted_without_sorting_texts(spark):
     found = C.conflicting_keys(df, ["k"], ["u", "v"])
     assert told(found) == told(spark.createDataFrame([("a",), (None,), ("d",)], "k string"))
     assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+GOODS = [("P1", "chair"), ("P1", "sofa"), ("P2", "chair"), ("P3", None), (None, "lamp"), ("P4", "desk")]
+
+
+@pytest.mark.parametrize("code", [product_code, lambda ident, name: F.when(F.col(ident).isNotNull() & F.col(name).isNotNull(), F.length(name).cast("long"))])
+def test_rows_meet_products_by_number(spark, code):
+    rows = spark.createDataFrame([(n, *g) for n, g in enumerate(GOODS * 2)], "n int, product_id string, product_name string")
+    products = spark.createDataFrame([(1, "P1", "chair"), (2, "P1", "sofa"), (3, "P2", "chair")], "product_key int, source_product_id string, product_name string")
+    shared = shared_codes(rows, code)
+    assert bool(shared) == (code is not product_code)
+    met = with_product(rows, products, shared, code).select("n", "product_key")
+    plain = rows.alias("r").join(products.alias("p"), F.expr("r.product_id = p.source_product_id AND r.product_name = p.product_name")).select("n", "product_key")
+    if not shared:
+        below, = (below for one, below in moved(met) if "hashpartitioning(_code#" in one)
+        assert "product_name" not in re.sub("CASE WHEN .* END", "", below)
+    assert told(met) == told(plain)
+
+
+def test_numbered_rows_know_their_size(spark):
+    df = spark.range(1000).selectExpr("string(id % 17) AS v", "id")
+    placed = number_rows(df, "v, id", position="at")
+    assert "Join" not in placed._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["at"] for r in placed.orderBy("v", "id").collect()] == list(range(1, 1001))
