@@ -13,9 +13,11 @@ from ventaria.operators.normalise import product_code, shared_codes, with_produc
 from ventaria.operators.ordering import number_rows
 from ventaria.plans.quality import Sheets
 from ventaria.plans.refreshed import Refreshed
+from ventaria.plans.views import sales_detail
 from ventaria.session import by_key, parted_by_one, settle_by
 from ventaria.sources.sales_text import COLUMNS, raw_sales
 from ventaria.sources.staging import arrivals, contradictory, only_new
+from ventaria.sources.tpch import Star
 
 
 def exchanges(df) -> int:
@@ -167,3 +169,13 @@ def test_numbered_rows_know_their_size(spark):
     placed = number_rows(df, "v, id", position="at")
     assert "Join" not in placed._jdf.queryExecution().optimizedPlan().toString()
     assert [r["at"] for r in placed.orderBy("v", "id").collect()] == list(range(1, 1001))
+
+
+def test_wide_headers_are_moved_by_one_join_only(spark):
+    lines = spark.createDataFrame([(1, 1, 1, 1.0, 1, 0.1, 1.0)], "order_key long, product_key long, source_row_id long, sales double, quantity int, discount double, profit double")
+    names = ["order_id", "order_date", "ship_date", "shipping_days", "ship_mode", "customer_id", "customer_name", "segment", "country", "state", "city", "postal_code", "region"]
+    headers = spark.createDataFrame([(1, *names)], "order_key long, " + ", ".join(f"{c} string" for c in names))
+    products = spark.createDataFrame([(1, "P", "n", "c", "s")], "product_key long, product_id string, product_name string, category string, sub_category string")
+    df = sales_detail(Star(lines, headers, products, headers, headers))
+    assert df.count() == 1
+    assert [re.search(r"\((\w+)#", one).group(1) for one, _ in moved(df)] == ["order_key", "product_key", "product_key", "order_key"]
