@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from ventaria.operators.normalise import extend, normalise, star_of
-from ventaria.operators.reconcile import unmatched
+from ventaria.operators.reconcile import count_unmatched, unmatched
 from ventaria.plans import views
 from ventaria.plans.quality import Sheets
 from ventaria.sources import staging
@@ -68,6 +68,17 @@ def test_unmatched_reports_disagreement(spark):
     assert [r["k"] for r in unmatched(source, target, ["k"], ["v"]).collect()] == [2]
 
 
+@pytest.mark.parametrize("agree", [["v"], []])
+def test_unmatched_rows_are_folded_before_they_are_compared(spark, agree):
+    source = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (2, None), (3, None), (4, "c"), (4, "c"), (None, "a"), (None, "a")], "k int, v string")
+    target = spark.createDataFrame([(1, "a"), (2, "x"), (3, None), (None, "a")], "k int, v string")
+    found = count_unmatched(source, target, ["k"], agree)
+    assert found.first()["unmatched"] == unmatched(source, target, ["k"], agree).count() == (7 if agree else 4)
+    assert count_unmatched(source.where("k = 1"), target, ["k"], agree).first()["unmatched"] == 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftAnti") < plan.index("count(1)")
+
+
 def test_views_over_the_normalised_tables(spark, small):
     sheets = Sheets.open(spark, small)
     star = star_of(sheets.model)
