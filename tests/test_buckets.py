@@ -14,7 +14,7 @@ from ventaria.operators.ordering import number_rows
 from ventaria.plans.quality import Sheets
 from ventaria.plans.refreshed import Refreshed
 from ventaria.plans.views import sales_detail
-from ventaria.session import by_key, parted_by_one, settle_by
+from ventaria.session import OPEN_FILES, by_key, parted_by_one, settle_by
 from ventaria.sources.sales_text import COLUMNS, raw_sales
 from ventaria.sources.staging import arrivals, contradictory, only_new
 from ventaria.sources.tpch import Star
@@ -54,6 +54,40 @@ def test_rows_in_buckets_are_completed_and_judged_like_moved_rows(spark, tidy):
     assert judged[1].where(F.array_contains("broken_rules", "row_id_repeated")).count() == 2
 
 
+def test_faults_told_with_the_text_are_not_told_again(spark, tidy):
+    odd = [line(40, "O1", segment="Retail", sales="y", quantity="0"), line(41, "O5", order_date="2020-02-30"), line(20, "O6", discount="2", profit="z"),
+           line(42, "O5", ship_date="2019-12-31"), line(43, "O5", category=None, ship_mode="Boat"), line(44, "O2", segment="Corporate")]
+    text = tidy.unionByName(spark.createDataFrame(odd, tidy.schema))
+    written = settle_by(by_key(C.row_faults(text), "order_id"), "order_id")
+    assert told(written.drop(C.UNREADABLE, C.RULES)) == told(text)
+    judged = C.split_by_rules(C.typed(written), home="order_id")
+    assert told(judged) == told(C.split_by_rules(C.typed(text)))
+    assert "segment_domain" not in judged._jdf.queryExecution().optimizedPlan().toString()
+    broken = {r["row_id"]: r["broken_rules"] for r in judged.where("row_id >= 40 OR row_id = 20 AND order_id = 'O6'").collect()}
+    assert broken[40] == ["segment_domain", "quantity_not_positive", "sales_unreadable"]
+    assert broken[20] == ["discount_range", "row_id_repeated", "profit_unreadable"]
+    assert broken[43] == ["category_missing", "ship_mode_domain"]
+
+
+def test_lists_of_faults_are_made_in_compiled_code(spark, tidy):
+    plan = C.row_faults(tidy)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan
+
+
+def test_a_task_that_writes_few_buckets_does_not_sort_them(spark, tidy):
+    ordered = tidy.coalesce(1).where("order_id IS NOT NULL").orderBy(F.desc("row_id")).coalesce(1)
+    few = ordered.where("order_id IN ('O1', 'O2')")
+    assert len({r[0] for r in few.select("order_id").distinct().collect()}) <= OPEN_FILES
+    kept = settle_by(few, "order_id")
+    assert told(kept) == told(few)
+    for order in ("O1", "O2"):
+        ids = [r["row_id"] for r in kept.where(F.col("order_id") == order).coalesce(1).collect()]
+        assert ids == [r["row_id"] for r in few.where(F.col("order_id") == order).collect()]
+    many = spark.range(5000).selectExpr("id", "string(id % 700) AS k").coalesce(1)  # more buckets than a task holds open
+    assert settle_by(many, "k").agg(F.count("id"), F.sum("id"), F.count_distinct("k")).first() == many.agg(F.count("id"), F.sum("id"), F.count_distinct("k")).first()
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
 @pytest.mark.parametrize("match", [{"customer_name": "_n", "customer_id": "_i"}, {"order_id": "_n", "city": "_i"}])
 def test_a_large_lookup_comes_to_the_rows(spark, tidy, match):
     home = settle_by(by_key(tidy, "order_id"), "order_id")

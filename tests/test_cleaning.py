@@ -167,3 +167,11 @@ def test_profile_counts(spark):
 def test_collation_option(spark):
     df = spark.createDataFrame([("Ana ",), ("ANA",), ("aná",)], "name string")
     assert df.distinct().count() == 3 and collated(df, ["name"]).distinct().count() == 1
+
+
+def test_days_are_cast_as_the_format_reads_them(spark):
+    texts = ["2023-01-04", "2023-02-29", "2024-02-29", "0000-01-01", "0001-01-01", "2023-1-4", "2023-01-4", " 2023-01-04", "2023-01-04 ", "2023-01-04\n", "2023-01-0\n", "2023-01-04T00",
+             "+2023-01-04", "-2023-01-04", "12023-01-04", "2023-13-01", "2023-00-10", "2023-01-00", "99.99.2023", "Jan 4", "", "9999-12-31", "1000-10-05", "1582-10-10", None]
+    df = spark.createDataFrame([(t,) for t in texts], "order_date string")
+    found = df.select("order_date", F.expr(C.CASTS["order_date"]).cast("string").alias("a"), F.try_to_date("order_date", "yyyy-MM-dd").cast("string").alias("b"))
+    assert [(r[0], r["a"]) for r in found.collect()] == [(r[0], r["b"]) for r in found.collect()]
