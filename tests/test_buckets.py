@@ -7,12 +7,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from ventaria.operators import cleaning as C, heavy, profiling as P
+from ventaria.operators import changelog as L, cleaning as C, heavy, profiling as P, refresh as R
 from ventaria.operators.heavy import join_lookup
 from ventaria.operators.normalise import product_code, shared_codes, with_product
 from ventaria.operators.ordering import number_rows
 from ventaria.plans.quality import Sheets
-from ventaria.plans.refreshed import Refreshed
+from ventaria.plans.refreshed import HOME, Refreshed, keyed_lines, later_lines
 from ventaria.plans.views import sales_detail
 from ventaria.session import OPEN_FILES, by_key, parted_by_one, settle_by
 from ventaria.sources.sales_text import COLUMNS, raw_sales
@@ -141,6 +141,47 @@ def test_cells_and_headers_of_the_refreshed_views_lie_in_buckets_of_their_order(
         assert exchanges(rows.groupBy("order_key").agg(F.count(F.lit(1)))) == 0
 
 
+def test_the_logs_compare_lines_and_orders_in_their_buckets(spark, small):
+    r = Refreshed.open(spark, small)
+    assert exchanges(keyed_lines(r.star)) == 1
+    assert exchanges(r.line_log) == 0
+    assert exchanges(r.order_log) == 1  # of the orders added under other keys
+    lines = keyed_lines(r.star)
+    whole = L.change_log(lines.drop(HOME), later_lines(lines).drop(HOME), "line_key", "order_details", changed_by="x")
+    shown = ["table_name", "record_key", "action_type", "old_data", "new_data"]
+    assert told(r.line_log.select(*shown)) == told(whole.select(*shown))
+    whole = L.change_log(r.star.headers, r.later.headers, "order_key", "orders", changed_by="x")
+    assert told(r.order_log.select(*shown)) == told(whole.select(*shown))
+
+
+def test_keys_of_lines_with_unknown_parts_meet_in_one_home(spark):
+    rows = [(1, 5, None), (1, None, 5), (2, 5, None), (3, None, None), (3, None, None), (4, 7, 5), (4, 7, 5), (5, 1, 9), (6, 11, 9), (6, -5, 3)]
+    lines = spark.createDataFrame([(o, p, s, None, n, None, None) for n, (o, s, p) in enumerate(rows)],
+                                  "order_key long, product_key long, source_row_id long, sales decimal(15,6), quantity int, discount decimal(4,2), profit decimal(15,6)")
+    keyed = keyed_lines(Star(lines, None, None, None, None))
+    assert keyed.where(F.col(HOME).isNull()).count() == 0
+    assert keyed.groupBy("line_key").agg(F.count_distinct(HOME).alias("n")).where("n > 1").count() == 0
+    logs = [L.change_log(a, later_lines(a) if h else later_lines(keyed).drop(HOME), "line_key", "t", "x", home=h).select("record_key", "action_type", "old_data", "new_data")
+            for a, h in ((keyed.drop(HOME), None), (keyed, HOME))]
+    assert told(logs[0]) == told(logs[1])
+
+
+def test_stored_rows_and_changes_add_up_in_their_buckets(spark):
+    rows = spark.createDataFrame([(k % 5, k % 3, 1, k, 1) for k in range(30)], "order_key long, product_key long, _rows long, total_order_lines long, _known_total_order_lines long")
+    ledger = R.Ledger(["order_key", "product_key"], [("total_order_lines", "1L")])
+    parts = [rows, rows.where("order_key = 2").withColumn("_rows", F.lit(-1).cast("long"))]
+    kept = [settle_by(by_key(df, "order_key"), "order_key") for df in parts]
+    found = ledger.merged(*kept, False, "order_key").select(*rows.columns)
+    assert exchanges(found) == 0
+    assert told(found) == told(ledger.merged(*parts, False).select(*rows.columns)) and found.count() == 12
+
+
+def test_the_touched_orders_are_named_once(spark, small):
+    r = Refreshed.open(spark, small)
+    assert r._touched[0].groupBy("order_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").count() == 0
+    assert len(r._touched[0].collect()) == len({x["order_key"] for x in r._touched[0].collect()})
+
+
 def test_conflicts_of_several_attributes_move_no_row_of_a_bucket(spark):
     rows = [("a", "1", "x"), ("a", "2", None), ("b", "1", "x"), ("b", "1", None), ("c", None, "x"), ("c", None, "y"), ("c", "3", "z"), (None, "1", "x"), (None, "2", "y"), ("d", None, None)]
     df = spark.createDataFrame(rows, "k string, u string, v string")

@@ -20,13 +20,15 @@ from pyspark.sql.types import DateType
 
 from ventaria.functions.expressions import all_of
 from ventaria.operators.scalars import attach
+from ventaria.session import united
 
 SIGN, ROWS, KNOWN = "_sign", "_rows", "_known_"
 
 
-def signed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows that leave (-1) and rows that come (+1)."""
-    return before.withColumn(SIGN, F.lit(-1)).unionByName(after.withColumn(SIGN, F.lit(1)))
+def signed(before: DataFrame, after: DataFrame, home: str | None = None) -> DataFrame:
+    """Rows that leave (-1) and rows that come (+1); parted by ``home``, those of one home stay in one task, where equal ones cancel early."""
+    parts = [before.withColumn(SIGN, F.lit(-1)), after.withColumn(SIGN, F.lit(1))]
+    return parts[0].unionByName(parts[1]) if home is None else united(parts, home)
 
 
 def signed_images(log: DataFrame, schema: str) -> DataFrame:
@@ -84,10 +86,11 @@ class Ledger:
         each = rows.select(*self.keys, SIGN, F.explode(F.array(*told)).alias("m")).where("m.label IS NOT NULL OR m.number IS NOT NULL")
         return each.groupBy(*self.keys, "m.kind", "m.label", "m.number").agg(F.sum(SIGN).cast("long").alias("support"))
 
-    def merged(self, stored: DataFrame, change: DataFrame, members: bool) -> DataFrame:
-        """Stored rows and their changes added up; what has no row left is gone."""
+    def merged(self, stored: DataFrame, change: DataFrame, members: bool, home: str | None = None) -> DataFrame:
+        """Stored rows and their changes added up; what has no row left is gone. Parted by the key ``home``, both stay where they are."""
         by, names = ([*self.keys, "kind", "label", "number"], ["support"]) if members else (self.keys, self.measures)
-        return netted(stored.unionByName(change), by, names).where(F.col(names[0]) > 0)
+        both = stored.unionByName(change) if home is None else united([stored, change], home)
+        return netted(both, by, names).where(F.col(names[0]) > 0)
 
     def view(self, totals: DataFrame, members: DataFrame, dates: frozenset[str] = frozenset({"order_date"})) -> DataFrame:
         """One row per key: sums (unknown where no value is known), distinct counts and extremes."""

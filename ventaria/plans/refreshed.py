@@ -20,38 +20,50 @@ from ventaria.operators import refresh as R
 from ventaria.operators.scalars import attach
 from ventaria.plans.layouts import VIEWS
 from ventaria.plans.views import CUSTOMER, PLACE, dimension_sizes
-from ventaria.session import by_key, settle, settle_by, stage_key
+from ventaria.session import by_key, in_differences, settle, settle_by, stage_key, united
 from ventaria.sources.tpch import Star, read_star
 
 MOVED = 1_000_000_000_000  # key offset of added rows
 RUN = {"changed_by": "nightly-load", "connection_id": 7}
 
 
+HOME = "_home"
+
+
 def keyed_lines(star: Star) -> DataFrame:
-    """Lines with a key of their own; in the source neither the row number nor the row number and product are unique."""
-    alike = Window.partitionBy("source_row_id", "product_key").orderBy("sales", "quantity", "discount", "profit")  # a handful of rows each
-    return star.lines.withColumn("line_key", F.concat_ws("-", "source_row_id", "product_key", F.row_number().over(alike)))
+    """Lines with a key of their own; in the source neither the row number nor the row number and product are unique.
 
+    They are parted by the first number of their key, which later versions of a line keep."""
+    home = F.coalesce("source_row_id", "product_key", F.lit(0).cast("long"))
+    lines = by_key(star.lines, home).withColumn(HOME, home)
+    alike = Window.partitionBy(HOME, "source_row_id", "product_key").orderBy("sales", "quantity", "discount", "profit")  # a handful of rows each
+    return lines.withColumn("line_key", F.concat_ws("-", "source_row_id", "product_key", F.row_number().over(alike)))
 
-def later_star(star: Star) -> Star:
-    """The same tables (lines with their key) after a day of changes: orders and lines are added, changed and removed by fixed rules over their keys."""
-    lines = keyed_lines(star).where("order_key % 20 != 0 AND source_row_id % 10 != 7").selectExpr(
+
+def later_lines(keyed: DataFrame) -> DataFrame:
+    """Lines with their key after a day of changes."""
+    lines = keyed.where("order_key % 20 != 0 AND source_row_id % 10 != 7").selectExpr(
         "order_key", "if(source_row_id % 10 = 5 AND product_key > 1, product_key - 1, product_key) AS product_key", "source_row_id",
         "if(source_row_id % 10 = 1, CAST(sales + 25 AS DECIMAL(15,6)), sales) AS sales", "quantity", "discount",
-        "if(source_row_id % 10 = 3, NULL, profit) AS profit", "line_key",
-        f"explode(if(order_key % 20 = 2, array(0L, {MOVED}L), array(0L))) AS shift")
-    lines = lines.selectExpr("order_key + shift AS order_key", "product_key", "source_row_id + shift AS source_row_id", "sales", "quantity", "discount", "profit",
-                             "if(shift > 0, concat(line_key, '+'), line_key) AS line_key")
-    names = star.headers.columns
-    moved = {"order_key": "order_key + shift", "order_id": "string(order_key + shift)"}
-    headers = star.headers.where("order_key % 20 != 0").selectExpr(
-        *[c for c in names if c not in ("order_date", "ship_date", "shipping_days", "ship_mode")],
-        "if(order_key % 20 = 6, date_add(order_date, 40), order_date) AS order_date",
-        "if(order_key % 20 = 6, date_add(ship_date, 40), if(order_key % 10 = 1, date_add(ship_date, 1), ship_date)) AS ship_date",
-        "if(order_key % 10 = 1, shipping_days + 1, shipping_days) AS shipping_days", "if(order_key % 10 = 3, NULL, ship_mode) AS ship_mode",
+        "if(source_row_id % 10 = 3, NULL, profit) AS profit", "line_key", HOME,
         f"explode(if(order_key % 20 = 2, array(0L, {MOVED}L), array(0L))) AS shift")
-    headers = headers.selectExpr(*[f"{moved.get(c, c)} AS {c}" for c in names])
-    return Star(lines, headers, star.products, star.customers, star.regions)
+    return lines.selectExpr("order_key + shift AS order_key", "product_key", "source_row_id + shift AS source_row_id", "sales", "quantity", "discount", "profit",
+                            "if(shift > 0, concat(line_key, '+'), line_key) AS line_key", HOME)
+
+
+def later_headers(headers: DataFrame, key: str = "order_key") -> DataFrame:
+    """Order rows after a day of changes, under the given key."""
+    changed = {
+        "order_key": key, "order_id": f"string({key})", "order_date": "if(order_key % 20 = 6, date_add(order_date, 40), order_date)",
+        "ship_date": "if(order_key % 20 = 6, date_add(ship_date, 40), if(order_key % 10 = 1, date_add(ship_date, 1), ship_date))",
+        "shipping_days": "if(order_key % 10 = 1, shipping_days + 1, shipping_days)", "ship_mode": "if(order_key % 10 = 3, NULL, ship_mode)"}
+    return headers.where("order_key % 20 != 0").selectExpr(*[f"{changed.get(c, c)} AS {c}" for c in headers.columns if c != "shift"])
+
+
+def later_star(star: Star) -> Star:
+    """The same tables (lines with their key) after a day of changes: orders and lines are added, changed and removed by fixed rules over their keys."""
+    headers = star.headers.selectExpr("*", f"explode(if(order_key % 20 = 2, array(0L, {MOVED}L), array(0L))) AS shift")
+    return Star(later_lines(keyed_lines(star)).drop(HOME), later_headers(headers, "order_key + shift"), star.products, star.customers, star.regions)
 
 
 _SUMS = [(n, v) for n, how, v in LINE_PARTS if how == "sum"]
@@ -103,7 +115,7 @@ def line_rows(cells: DataFrame, headers: DataFrame, products: DataFrame) -> Data
 
 
 class Refreshed:
-    """Stored views of a data set, a change log, and the views after it; each written once per session.
+    """Stored views of a data set, what a change log changes of them, and the views after it; each written once per session.
 
     Cells, headers and what changes of them lie in buckets of their order, so folding
     and joining by it moves none of them."""
@@ -151,39 +163,46 @@ class Refreshed:
             self._stored[name] = R.Stored(self._counting(ledger, name), totals, members, settle(self._counting(ledger, name).view(totals, members)))
         return self._stored[name]
 
-    # ---- the changes
+    # ---- the changes; a log is read once, for what is kept of it
 
     @cached_property
+    def lines(self) -> DataFrame:
+        with in_differences():  # in the order of their keys
+            return settle_by(keyed_lines(self.star), HOME)
+
+    @property
     def line_log(self) -> DataFrame:
-        return settle(L.change_log(keyed_lines(self.star), self.later.lines, "line_key", "order_details", **RUN), "zstd")
+        return L.change_log(self.lines, later_lines(self.lines), "line_key", "order_details", home=HOME, **RUN)
 
-    @cached_property
+    @property
     def order_log(self) -> DataFrame:
-        return settle(L.change_log(self.star.headers, self.later.headers, "order_key", "orders", **RUN), "zstd")
+        """Only the orders added under other keys come to the buckets of those."""
+        added = by_key(later_headers(self.headers.where("order_key % 20 = 2"), f"order_key + {MOVED}L"), "order_key")
+        return L.change_log(self.headers, united([later_headers(self.headers), added], "order_key"), "order_key", "orders", **RUN)
 
     @cached_property
     def _touched(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
-        """Touched orders, their cells before and after, their headers before and after."""
+        """Touched orders, their cells before and after (read from the stored cells and their changes), their headers before and after."""
         kinds = lambda df: ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
         lines = R.signed_images(self.line_log, kinds(self.later.lines))
         heads = settle_by(by_key(R.signed_images(self.order_log, kinds(self.star.headers)), "order_key"), "order_key")
         change = settle_by(CELLS.totals(by_key(lines, "order_key")), "order_key")
-        touched = settle_by(by_key(change.select("order_key").union(heads.select("order_key")), "order_key").distinct(), "order_key")
+        touched = settle_by(united([change.select("order_key"), heads.select("order_key")], "order_key").distinct(), "order_key")
         before = self.cells.join(touched, "order_key", "left_semi")
-        after = CELLS.merged(before, change, False)
+        after = CELLS.merged(before, change, False, "order_key")
         old = self.headers.join(touched, "order_key", "left_semi")
         new = old.join(heads.select("order_key").distinct(), "order_key", "left_anti").unionByName(heads.where(f"{R.SIGN} > 0").drop(R.SIGN))
-        return (touched, *[settle_by(x, "order_key") for x in (self._known(before), self._known(after), old, new)])
+        return (touched, self._known(before), self._known(after), settle_by(old, "order_key"), settle_by(new, "order_key"))
 
     @cached_property
     def order_change(self) -> DataFrame:
         _, before, after, old, new = self._touched
-        return settle(R.signed(order_rows(before, old), order_rows(after, new)), "zstd")
+        return settle(R.signed(order_rows(before, old), order_rows(after, new), "order_key"), "zstd")
 
     @cached_property
     def line_change(self) -> DataFrame:
         _, before, after, old, new = self._touched
-        return settle(R.signed(line_rows(before, old, self.star.products), line_rows(after, new, self.star.products)), "zstd")
+        return settle(R.signed(line_rows(before, old, self.star.products), line_rows(after, new, self.star.products), "order_key"), "zstd")
 
     # ---- the views after them
 
